@@ -13,8 +13,8 @@ SCALE = 10_000
 
 
 def units(amount: Column) -> Column:
-    """Amount in whole 1/10000 units (bigint)."""
-    return F.round(amount * SCALE).cast("bigint")
+    """Amount in whole 1/10000 units (bigint); nearest unit, without the decimal detour of ``round``."""
+    return F.floor(amount * SCALE + 0.5)
 
 
 def total(amount: Column) -> Column:
@@ -33,11 +33,5 @@ def mean_when(condition: Column, amount: Column) -> Column:
     return ratio(F.sum(u), F.count(u))
 
 
-def wide_mean(amount: Column) -> Column:
-    """Mean over an unbounded group: decimal accumulator."""
-    u = units(amount)
-    return ratio(F.sum(u.cast("decimal(19,0)")), F.count(u))
-
-
 def ratio(unit_sum: Column, count: Column) -> Column:
     return F.when(count > 0, unit_sum.cast("double") / (count * SCALE).cast("double"))

@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (store, ship date): the grouping itself makes the key unique."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    share = F.round((1 - F.col("l_discount")) * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    share = F.floor((1 - F.col("l_discount")) * 100 + 0.5)
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("store_id"),
         F.col("l_shipdate").cast("date").alias("date"),
