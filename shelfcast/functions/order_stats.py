@@ -1,9 +1,10 @@
 """Exact order statistics without a global sort and without gathering a column in one task.
 
 Spark's ``percentile`` and ``median`` keep every distinct value in one buffer, and a rank over an
-unpartitioned window runs in one task. Here the value range is cut into bins, the bins are counted
-with map-side aggregation, and only the bins that hold a wanted rank are cut again. Each round reads
-the column once and brings at most ``BINS`` counters per wanted rank to the driver.
+unpartitioned window runs in one task. Here a wanted rank is first bracketed (by a mergeable sketch of
+bounded size, or by the column's range), the bracket is verified by exact counts, cut into bins that
+are counted with map-side aggregation, and only the bin that holds the rank is cut again. Each round
+reads the column once and brings at most ``BINS`` counters per wanted rank to the driver.
 """
 
 from __future__ import annotations
@@ -15,18 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BINS = 2048
+BINS = 4096
 # At or below this many rows the built-in exact aggregate is one job with a buffer of proven size.
-SMALL = 200_000
+SMALL = 20_000
+# Sketch accuracy: a bracket holds about 6 / ACCURACY of the rows.
+ACCURACY = 1_000
 
 
 class _Search:
     """Narrowing state of one wanted rank in one column."""
 
-    def __init__(self, column: str, rank: int, low, high):
+    def __init__(self, column: str, rank: int, low, high, below: int = 0):
         self.column, self.rank = column, rank
         self.low, self.high = low, high
-        self.below = 0  # rows smaller than ``low``
+        self.below = below  # rows smaller than ``low``
         self.value = low if low == high else None
 
 
@@ -43,27 +46,23 @@ def _bin(column: Column, integral: bool, low, high) -> Column:
     return F.least(F.floor((column - F.lit(low)) / F.lit(width)), F.lit(BINS)).cast("int")
 
 
-def values_at_ranks(df: DataFrame, wanted: dict[str, Sequence[int]], spans: dict) -> dict[tuple[str, int], float]:
-    """Value at each 0-based rank among the non-null values of each column, in ascending order."""
-    integral = {c: isinstance(df.schema[c].dataType, T.IntegralType) for c in wanted}
-    searches = [
-        _Search(c, r, spans[c]["low"], spans[c]["high"]) for c, ranks in wanted.items() for r in sorted(set(ranks))
-    ]
+def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tuple]:
+    """(value, number of smaller rows) of every search, narrowing all of them together."""
+    integral = {s.column: isinstance(df.schema[s.column].dataType, T.IntegralType) for s in searches}
     while True:
         open_ = [s for s in searches if s.value is None]
         if not open_:
             break
         # ranks that still share a range share its counters
         ranges = sorted({(s.column, s.low, s.high) for s in open_})
+        common = "bigint" if all(integral[c] for c, _, _ in ranges) else "double"
         cells = []
         for i, (c, low, high) in enumerate(ranges):
             value = F.col(c)
             cell = F.struct(
                 F.lit(i).alias("range"),
                 _bin(value, integral[c], low, high).alias("bin"),
-                value.cast("bigint" if integral[c] else "double").alias("value")
-                if len({integral[x] for x, _, _ in ranges}) == 1
-                else value.cast("double").alias("value"),
+                value.cast(common).alias("value"),
             )
             cells.append(F.when(value.between(F.lit(low), F.lit(high)), cell))
         counted = (
@@ -86,7 +85,7 @@ def values_at_ranks(df: DataFrame, wanted: dict[str, Sequence[int]], spans: dict
                         s.value = s.low
                     break
                 seen += row["n"]
-    return {(s.column, s.rank): s.value for s in searches}
+    return {(s.column, s.rank): (s.value, s.below) for s in searches}
 
 
 def exact_quantiles(
@@ -94,9 +93,16 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, NULLs left out; None for a column without values."""
     columns = list(wanted)
+    margin = 3 / ACCURACY
+    brackets = {c: [min(max(p + side, 0.0), 1.0) for p in wanted[c] for side in (-margin, margin)] for c in columns}
     row = df.agg(
         *[
-            F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(f"s{i}")
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(c).alias("low"),
+                F.max(c).alias("high"),
+                F.percentile_approx(c, brackets[c], ACCURACY).alias("near"),
+            ).alias(f"s{i}")
             for i, c in enumerate(columns)
         ]
     ).first()
@@ -112,42 +118,53 @@ def exact_quantiles(
             ]
         ).first()
         return {c: list(found[f"q{i}"] or [None] * len(wanted[c])) for i, c in enumerate(columns)}
-    ranks = {}
+
+    near = [
+        (c, p, spans[c]["near"][2 * j], spans[c]["near"][2 * j + 1]) for c in filled for j, p in enumerate(wanted[c])
+    ]
+    counts = df.agg(
+        *[F.count_if(F.col(c) < F.lit(low)).alias(f"b{i}") for i, (c, _, low, _) in enumerate(near)],
+        *[F.count_if(F.col(c) <= F.lit(high)).alias(f"t{i}") for i, (c, _, _, high) in enumerate(near)],
+    ).first()
+    searches: dict[tuple[str, int], _Search] = {}
+    for i, (c, p, low, high) in enumerate(near):
+        below, upto = counts[f"b{i}"], counts[f"t{i}"]
+        position = (spans[c]["n"] - 1) * p
+        for rank in {math.floor(position), math.ceil(position)}:
+            if below <= rank < upto:
+                searches[(c, rank)] = _Search(c, rank, low, high, below)
+            else:
+                searches.setdefault((c, rank), _Search(c, rank, spans[c]["low"], spans[c]["high"]))
+    values = _locate(df, list(searches.values()))
+    out: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in columns}
     for c in filled:
-        positions = [(spans[c]["n"] - 1) * p for p in wanted[c]]
-        ranks[c] = [r for p in positions for r in (math.floor(p), math.ceil(p))]
-    values = values_at_ranks(df, ranks, spans)
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        if c not in ranks:
-            out[c] = [None] * len(wanted[c])
-            continue
-        pairs = zip(ranks[c][::2], ranks[c][1::2], wanted[c])
-        out[c] = []
-        for lo, hi, p in pairs:
-            a, b = float(values[(c, lo)]), float(values[(c, hi)])
-            share = (spans[c]["n"] - 1) * p - lo
-            out[c].append(a if lo == hi else (1 - share) * a + share * b)
+        for j, p in enumerate(wanted[c]):
+            position = (spans[c]["n"] - 1) * p
+            lo, hi = math.floor(position), math.ceil(position)
+            a, b = float(values[(c, lo)][0]), float(values[(c, hi)][0])
+            share = position - lo
+            out[c][j] = a if lo == hi else (1 - share) * a + share * b
     return out
 
 
 def rows_at_ranks(df: DataFrame, keys: Sequence[str], ranks: Sequence[int]) -> list[tuple]:
     """Key tuples found at 0-based ranks when ``df`` is ordered by integral ``keys``.
 
-    The leading key is searched over all rows; a following key only among rows that tie with the
-    values already found.
+    The leading key is searched over all rows, for all ranks together; a following key only among the
+    rows that tie on the keys before it.
     """
+    key, *rest = keys
+    span = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    leading = _locate(df, [_Search(key, r, span["low"], span["high"]) for r in sorted(set(ranks))])
     found = []
     for rank in ranks:
-        rows, prefix = df, []
-        for key in keys:
-            span = rows.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-            value = values_at_ranks(rows, {key: [rank]}, {key: span})[(key, rank)]
-            if key != keys[-1]:
-                rank -= rows.where(F.col(key) < F.lit(value)).count()
-                rows = rows.where(F.col(key) == F.lit(value))
-            prefix.append(value)
-        found.append(tuple(prefix))
+        value, below = leading[(key, rank)]
+        if not rest:
+            found.append((value,))
+            continue
+        ties = df.where(F.col(key) == F.lit(value))
+        (tail,) = rows_at_ranks(ties, rest, [rank - below])
+        found.append((value, *tail))
     return found
 
 
