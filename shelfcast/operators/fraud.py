@@ -68,7 +68,7 @@ def fit_autoencoder(train: DataFrame, scaler: PipelineModel, seed: int = 42, hel
         held_out=held_out,
         inputCol="z",
         seed=seed,
-        **{"partitions": train.sparkSession.sparkContext.defaultParallelism, **settings},
+        **settings,
     )
     return net.fit(scaler.transform(train))
 
