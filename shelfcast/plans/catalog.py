@@ -192,7 +192,7 @@ def store_profiles(spark, d):
 
 @query
 def low_data_stores(spark, d):
-    return profiles.low_data_stores(clean.open_days(tpch.sales(spark, d)))
+    return _rounded(profiles.low_data_stores(clean.open_days(tpch.sales(spark, d))), ["threshold_days"], 6)
 
 
 @query

@@ -169,7 +169,7 @@ returns AS (
 
 _SPLIT = """
 windowed AS (
-  SELECT *, row_number() OVER (ORDER BY us, transaction_id) <= floor(0.7 * count(*) OVER ()) AS is_train FROM returns)"""
+  SELECT *, row_number() OVER (ORDER BY us, transaction_id) <= floor(count(*) OVER () * 0.7::DOUBLE) AS is_train FROM returns)"""
 
 _Z = {
     "return_amount_log": "ln(1 + return_amount)",
@@ -342,7 +342,7 @@ FROM joined GROUP BY store_type""",
     + " FROM profiles",
     "low_data_stores": _with(*_DAYS, "\nc AS (SELECT store_id, count(*) AS n FROM open_days GROUP BY store_id)",
                              "\nt AS (SELECT quantile_cont(n, 0.01) AS limit_days FROM c)")
-    + "SELECT max(limit_days) AS threshold_days, count(*) FILTER (n < limit_days) AS n_flagged FROM c, t",
+    + "SELECT round(max(limit_days), 6) AS threshold_days, count(*) FILTER (n < limit_days) AS n_flagged FROM c, t",
     "profile_scaled": _with(*_STORE_PROFILES, _SCALED)
     + "SELECT store_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in PROFILE_FEATURES) + " FROM scaled",
     "silhouette": _with(
