@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BINS = 4096
+# Generated code stays small enough to be compiled; each part scans its own columns only.
+_COLUMNS_PER_SCAN = 8
 # At or below this many rows the built-in exact aggregate is one job with a buffer of proven size.
 SMALL = 20_000
 # Sketch accuracy: a bracket holds about 6 / ACCURACY of the rows.
@@ -56,17 +59,23 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
         # ranks that still share a range share its counters
         ranges = sorted({(s.column, s.low, s.high) for s in open_})
         common = "bigint" if all(integral[c] for c, _, _ in ranges) else "double"
-        cells = []
-        for i, (c, low, high) in enumerate(ranges):
-            value = F.col(c)
-            cell = F.struct(
-                F.lit(i).alias("range"),
-                _bin(value, integral[c], low, high).alias("bin"),
-                value.cast(common).alias("value"),
-            )
-            cells.append(F.when(value.between(F.lit(low), F.lit(high)), cell))
+        parts = []
+        for at in range(0, len(ranges), _COLUMNS_PER_SCAN):
+            cells, inside = [], F.lit(False)
+            for i in range(at, min(at + _COLUMNS_PER_SCAN, len(ranges))):
+                c, low, high = ranges[i]
+                value = F.col(c)
+                hit = value.between(F.lit(low), F.lit(high))
+                inside = inside | hit
+                cell = F.struct(
+                    F.lit(i).alias("range"),
+                    _bin(value, integral[c], low, high).alias("bin"),
+                    value.cast(common).alias("value"),
+                )
+                cells.append(F.when(hit, cell))
+            parts.append(df.where(inside).select(F.explode(F.array(*cells)).alias("cell")).where("cell is not null"))
         counted = (
-            df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+            reduce(DataFrame.union, parts)
             .select("cell.*")
             .groupBy("range", "bin")
             .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
@@ -81,8 +90,10 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
             for row in sorted(per_range[index[(s.column, s.low, s.high)]], key=lambda r: r["bin"]):
                 if seen + row["n"] > s.rank:
                     s.below, s.low, s.high = seen, row["low"], row["high"]
-                    if s.low == s.high:
+                    if s.low == s.high or seen == s.rank:
                         s.value = s.low
+                    elif row["n"] == 2:
+                        s.value, s.below = s.high, seen + 1
                     break
                 seen += row["n"]
     return {(s.column, s.rank): (s.value, s.below) for s in searches}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.order_stats import precedes, rows_at_ranks
 from shelfcast.schema import VALIDATION_WEEKS
+from shelfcast.session import stage
 
 
 def cutoff_date(panel: DataFrame, weeks: int = VALIDATION_WEEKS) -> Column:
@@ -31,12 +32,14 @@ def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
     every validation part has ``n // (splits + 1)`` rows, the remainder goes to the first train part.
     """
     keyed = with_day_number(panel)
-    n = keyed.count()
+    keys = ["day_number", "store_id"]
+    # the search reads the keys several times: two columns, written once
+    ordered = stage(keyed.select(*keys), "fold-keys")
+    n = ordered.count()
     size = n // (splits + 1)
     if size == 0:
         raise ValueError(f"cannot cut {n} rows into {splits} folds")
-    keys = ["day_number", "store_id"]
-    starts = rows_at_ranks(keyed.select(*keys), keys, [n - size * (splits - i) for i in range(splits)])
+    starts = rows_at_ranks(ordered, keys, [n - size * (splits - i) for i in range(splits)])
     fold = F.lit(splits)
     for i in reversed(range(splits)):
         fold = F.when(precedes(keys, starts[i]), i).otherwise(fold)
@@ -46,8 +49,11 @@ def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
 def train_monitor(returns: DataFrame, fraction: float = 0.7) -> DataFrame:
     """Add ``is_train``: the first ``int(n * fraction)`` rows in order of (time, transaction)."""
     keyed = returns.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
-    size = int(keyed.count() * fraction)
     keys = ["at", "transaction_id"]
-    n = size
-    (cut,) = rows_at_ranks(keyed.select(*keys), keys, [n])
+    ordered = stage(keyed.select(*keys), "return-keys")
+    n = ordered.count()
+    size = int(n * fraction)
+    if size >= n:
+        return keyed.withColumn("is_train", F.lit(True)).drop("at")
+    (cut,) = rows_at_ranks(ordered, keys, [size])
     return keyed.withColumn("is_train", precedes(keys, cut)).drop("at")

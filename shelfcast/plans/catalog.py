@@ -334,7 +334,7 @@ def model_ranking(spark, d):
 @query
 def numeric_preproc(spark, d):
     prepared, numeric, _ = preprocess.prepare_features(_panel(spark, d))
-    fitted = preprocess.fit_numeric(stage(prepared, "features"), numeric, scale=True)
+    fitted = preprocess.fit_numeric(stage(prepared, "features"), numeric)
     rows = [(c, *fitted[c]) for c in numeric]
     out = spark.createDataFrame(rows, "feature string, median double, mean double, spread double")
     return _rounded(out, ["median", "mean", "spread"], 4)
@@ -380,7 +380,8 @@ QUERIES["gbt_forecast"] = _forecast("gbt", maxIter=40)
 @query
 def val_predictions(spark, d):
     train, val, numeric, categorical = _training(spark, d)
-    fitted = {n: models.fit_pipeline(n, train, numeric, categorical)[0] for n in ("ridge", "mlp")}
+    shared = preprocess.fit_numeric(train, numeric)
+    fitted = {n: models.fit_pipeline(n, train, numeric, categorical, shared)[0] for n in ("ridge", "mlp")}
     return pipelines.score_holdout(val, fitted)
 
 
@@ -388,7 +389,10 @@ def val_predictions(spark, d):
 def cv_metrics(spark, d):
     train, _, numeric, categorical = _training(spark, d)
     folded = stage(split.temporal_folds(train), "folds")
-    rows = [r for n in ("ridge", "mlp") for r in models.cross_validate(n, folded, numeric, categorical)]
+    shared: dict = {}
+    rows = [
+        r for n in ("ridge", "mlp") for r in models.cross_validate(n, folded, numeric, categorical, statistics=shared)
+    ]
     return spark.createDataFrame(
         [(r["model_name"], r["fold"], r["rmspe"], r["mae"], r["rmse"], r["r2"]) for r in rows],
         "model_name string, fold int, rmspe double, mae double, rmse double, r2 double",
@@ -452,7 +456,7 @@ def _amount_thresholds(log):
 
 @query
 def flag_thresholds(spark, d):
-    log = stage(split.train_monitor(tpch.returns(spark, d)), "returns")
+    log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     p95, p99 = _amount_thresholds(log)
     flagged = fraud.flag(log.where("not is_train"), p95, p99, score="return_amount")
     return flagged.select(
@@ -467,14 +471,14 @@ def flag_thresholds(spark, d):
 
 @query
 def flag_quality(spark, d):
-    log = stage(split.train_monitor(tpch.returns(spark, d)), "returns")
+    log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     flagged = fraud.flag(log.where("not is_train"), *_amount_thresholds(log), score="return_amount")
     return fraud.flag_quality(flagged, "flagged_p95").unionByName(fraud.flag_quality(flagged, "flagged_p99"))
 
 
 def _baseline(spark, d):
     """Monitor window scored against the training means: deterministic, so it has an SQL twin."""
-    log = stage(split.train_monitor(tpch.returns(spark, d)), "returns")
+    log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     scored = fraud.mean_score(fraud.fit_scaler(log.where("is_train")), log)
     p95, p99 = fraud.thresholds(scored.where("is_train"))
     return fraud.flag(scored.where("not is_train"), p95, p99), p95, p99
@@ -514,7 +518,7 @@ def score_histogram(spark, d):
 
 @query
 def pca_scores(spark, d):
-    log = stage(split.train_monitor(tpch.returns(spark, d)), "returns")
+    log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     scaler = fraud.fit_scaler(log.where("is_train"))
     components = fraud.fit_pca(log.where("is_train"), scaler)
     return fraud.pca_score(components, scaler, log).select("transaction_id", "is_train", "score")

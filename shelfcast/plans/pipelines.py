@@ -16,7 +16,7 @@ from shelfcast.operators.features import (
     history_features,
     segmented_history_features,
 )
-from shelfcast.operators.preprocess import feature_names, prepare_features
+from shelfcast.operators.preprocess import feature_names, fit_numeric, prepare_features
 from shelfcast.operators.profiles import store_profiles
 from shelfcast.operators.split import holdout_split, temporal_folds, train_monitor
 from shelfcast.schema import LAGS, VALIDATION_WEEKS, WINDOWS
@@ -106,10 +106,13 @@ def train_models(
     prepared, numeric, categorical = prepare_features(rows, exclude_anomalies)
     folded = stage(temporal_folds(prepared, splits), "training")
     manifest = {"raw_numeric_features": numeric, "raw_categorical_features": categorical, "models": {}}
+    statistics: dict = {}  # imputation and scaling per training part, shared by the models
     for name in models.MODELS:
         overrides = (settings or {}).get(name, {})
-        folds = models.cross_validate(name, folded, numeric, categorical, splits, **overrides)
-        fitted, seconds = models.fit_pipeline(name, folded.drop("fold"), numeric, categorical, **overrides)
+        folds = models.cross_validate(name, folded, numeric, categorical, splits, statistics, **overrides)
+        if "all" not in statistics:
+            statistics["all"] = fit_numeric(folded, numeric)
+        fitted, seconds = models.fit_pipeline(name, folded.drop("fold"), numeric, categorical, statistics["all"], **overrides)
         facts = {
             "cv_splits": splits,
             "cv_rmspe_folds": [f["rmspe"] for f in folds],
@@ -155,7 +158,7 @@ def run_evaluation(val: DataFrame, models_dir: str, out: str | None = None) -> D
 
 def fraud_detection(returns: DataFrame, fraction: float = 0.7, seed: int = 42, **net) -> dict:
     """Fit on the earlier window, threshold on its scores, score the later window."""
-    log = stage(train_monitor(returns, fraction), "returns")
+    log = train_monitor(stage(returns, "returns"), fraction)
     train, monitor = log.where("is_train"), log.where("not is_train")
     scaler = fraud.fit_scaler(train)
     model = fraud.fit_autoencoder(train, scaler, seed, **net)
