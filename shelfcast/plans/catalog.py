@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -197,12 +198,12 @@ def low_data_stores(spark, d):
 
 @query
 def profile_scaled(spark, d):
-    return _rounded(cluster.scale_profiles(_profiles(spark, d)), PROFILE_FEATURES, 6)
+    return _rounded(cluster.scale_profiles(stage(_profiles(spark, d), "profiles")), PROFILE_FEATURES, 6)
 
 
 @query
 def silhouette(spark, d):
-    vectors = cluster.with_vector(cluster.scale_profiles(_profiles(spark, d)))
+    vectors = cluster.with_vector(cluster.scale_profiles(stage(_profiles(spark, d), "profiles")))
     labelled = vectors.withColumn("label", (F.col("store_id") % 4).cast("int"))
     score = cluster.silhouette(labelled, ["label"])["label"]
     return labelled.agg(F.count("*").alias("stores"), F.round(F.lit(score), 6).alias("silhouette"))
@@ -278,7 +279,7 @@ def store_leaderboard_bottom(spark, d):
 
 @query
 def risk_quadrant(spark, d):
-    rows = bi.risk_quadrant(_profiles(spark, d))
+    rows = bi.risk_quadrant(stage(_profiles(spark, d), "profiles"))
     return _rounded(rows, ["avg_daily_sales", "sales_cv", "median_sales", "median_cv"], 6)
 
 
@@ -294,7 +295,7 @@ def forecast_series(spark, d):
 
 @query
 def forecast_rollup(spark, d):
-    predictions = _holdout_naive(spark, d)
+    predictions = stage(_holdout_naive(spark, d), "holdout")
     parts = []
     for frequency in ("weekly", "monthly"):
         for scope, wanted in (("store", 1), ("cohort", [1, 2, 3, 4, 5]), ("chain", None)):
@@ -345,8 +346,6 @@ def categorical_preproc(spark, d):
     prepared, _, categorical = preprocess.prepare_features(_panel(spark, d))
     rows = prepared.select("store_id", "date", *categorical)
     fitted = preprocess.fit_preprocessor(rows, [], categorical)
-    from pyspark.ml.functions import vector_to_array
-
     slots = vector_to_array("features")
     names = preprocess.feature_names(fitted, [], categorical)
     return fitted.transform(rows).select(
