@@ -13,7 +13,7 @@ import os
 import sys
 import time
 
-from shelfcast.operators import evaluate, models
+from shelfcast.operators import evaluate, models, preprocess
 from shelfcast.plans import catalog
 from shelfcast.session import build_session
 
@@ -69,12 +69,16 @@ def main() -> None:
         train, val, numeric, categorical = catalog._training(spark, sf_dir)
         rows["train"], rows["holdout"] = train.count(), val.count()
         models.fit_pipeline("ridge", val, numeric, categorical)
+        # imputation and scaling are fitted once and shared by the models, as in the training job
+        started = time.time()
+        statistics = preprocess.fit_numeric(train, numeric)
+        seconds["numeric_statistics_fit"] = round(time.time() - started, 3)
         for name, label, settings in (
             ("ridge", "ridge", {}),
             ("mlp", "mlp", {}),
             ("gbt", "gbt_20_trees", {"maxIter": 20}),
         ):
-            fitted, took = models.fit_pipeline(name, train, numeric, categorical, **settings)
+            fitted, took = models.fit_pipeline(name, train, numeric, categorical, statistics, **settings)
             seconds[f"{label}_fit"] = round(took, 3)
             seconds[f"{label}_score"] = round(evaluate.timed(models.predict(fitted, val)), 3)
     print(
