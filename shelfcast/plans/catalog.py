@@ -460,8 +460,8 @@ def flag_thresholds(spark, d):
     flagged = fraud.flag(log.where("not is_train"), p95, p99, score="return_amount")
     return flagged.select(
         "transaction_id",
-        F.lit(p95).alias("p95"),
-        F.lit(p99).alias("p99"),
+        F.round(F.lit(p95), 6).alias("p95"),
+        F.round(F.lit(p99), 6).alias("p99"),
         "flagged_p95",
         "flagged_p99",
         "severity",

@@ -447,7 +447,7 @@ printf('TXN-%07d', event_id) AS transaction_key FROM events WHERE event_type IN
     + " FROM returns",
     "train_monitor_split": _with(_RETURNS, _SPLIT) + "SELECT transaction_id, is_train FROM windowed",
     "flag_thresholds": _with(_RETURNS, _SPLIT, _BY_AMOUNT)
-    + """SELECT transaction_id, p95, p99, flagged_p95, flagged_p99,
+    + """SELECT transaction_id, round(p95, 6) AS p95, round(p99, 6) AS p99, flagged_p95, flagged_p99,
 CASE WHEN flagged_p99 THEN 'high' WHEN flagged_p95 THEN 'medium' ELSE 'low' END AS severity FROM flagged""",
     "flag_quality": _with(_RETURNS, _SPLIT, _BY_AMOUNT,
                           "\nc AS (" + " UNION ALL ".join(
