@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = secret_scan.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    return docs.select(
+        "doc_id",
+        *[secret_scan.count(spans, kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.joined(spans, secret_scan.KINDS[:3]), 256).alias("base_sha256"),
+        secret_scan.joined(spans).alias("spans"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(
@@ -43,6 +54,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op5_secrets": op5_secrets,
     "op10_decontaminate": op10_decontaminate,
 }
 
