@@ -42,6 +42,7 @@ SHINGLE = 3
 RADIUS = 3
 BUCKET_ROWS = 1 << 21
 BLOCK = 1 << 15
+HOT_SHARE = 1000
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -231,14 +232,22 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), keep_text=False),
         "fingerprints",
     )
-    return rows.join(class_ids(rows, "doc_id", "fingerprint"), "fingerprint").select(
-        "doc_id", hexed(F.col("fingerprint")).alias("fingerprint"), "component_id"
-    )
-
-
-def class_ids(rows: DataFrame, doc_id: str, name: str) -> DataFrame:
-    """(fingerprint, ``component_id``): the smallest id among all rows of the fingerprint's class."""
-    distinct = staged(rows.groupBy(name).agg(F.min(doc_id).alias("least")), "prints")
+    counts = rows.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    distinct = staged(counts, "prints")
+    named = class_ids(distinct, "fingerprint")
+    # a fingerprint of more than 1 in HOT_SHARE rows: fewer than HOT_SHARE of them exist, so their names
+    # are broadcast, and no task receives all their rows
+    total = distinct.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in distinct.where(F.col("n") * HOT_SHARE > total).select("fingerprint").collect()]
+    is_hot = F.col("fingerprint").isin(hot) if hot else F.lit(False)
+    joined = rows.where(~is_hot).join(named.where(~is_hot), "fingerprint")
+    if hot:
+        joined = joined.unionByName(rows.where(is_hot).join(F.broadcast(named.where(is_hot)), "fingerprint"))
+    return joined.select("doc_id", hexed(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def class_ids(distinct: DataFrame, name: str) -> DataFrame:
+    """(fingerprint, ``component_id``): the smallest ``least`` of all fingerprints of the class."""
     found = staged(connected(staged(links(distinct, name), "links")), "roots")
     members = distinct.join(found.withColumnRenamed("node", name), name).select(name, "root", "least")
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
