@@ -115,7 +115,7 @@ def judge(docs: DataFrame, text: str = "text", max_loss: int = MAX_LOSS) -> Data
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept_words")
     made += ("cleaned", "kept")
     names = [c for c in docs.columns if c not in made or c == text]
-    words, lines, good = (fresh(x, docs.columns) for x in ("q_words", "q_lines", "q_good"))
+    words, lines, good, row = (fresh(x, docs.columns) for x in ("q_words", "q_lines", "q_good", "q_row"))
     value = F.coalesce(F.col(text), F.lit(""))
     listed = docs.select(
         *names,
@@ -133,7 +133,10 @@ def judge(docs: DataFrame, text: str = "text", max_loss: int = MAX_LOSS) -> Data
         F.regexp_count(value, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(with_word) - F.size(F.array_distinct(with_word))).cast("long").alias("n_dup_lines"),
         _repeated_words(words).alias("n_repeat_words"),
-    )
+        # filters on the verdict would be moved below this projection, and its arrays be made again for
+        # every use; a filter that needs a row number has to stay above
+        F.monotonically_increasing_id().alias(row),
+    ).where(F.col(row) >= 0)
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
