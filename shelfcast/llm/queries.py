@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, quality, secret_scan, sharding, simhash, url_filter
+from . import decontaminate, packing, pieces, quality, secret_scan, sharding, simhash, url_filter
 
 
+TOKEN_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -48,6 +49,24 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each segment of each document is, with a digest of its ids as they stand in the packed row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = packing.pack_documents(docs, TOKEN_RANKS, public_tokenizers.PATTERN)
+    laid = rows.select("pack_group", "pack_row", "ids", F.explode("segments").alias("s"))
+    own = F.substring(F.col("ids"), F.col("s.start") * 2 + 1, F.col("s.n_tokens") * 2)
+    return laid.select(
+        F.col("s.doc_id").alias("doc_id"),
+        F.col("s.segment").alias("segment"),
+        F.col("s.n_segments").alias("n_segments"),
+        F.col("s.n_tokens").alias("n_tokens"),
+        "pack_group",
+        "pack_row",
+        F.col("s.start").alias("start"),
+        F.sha2(own, 256).alias("ids_sha256"),
+    )
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judged(pages).drop("url")
@@ -87,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op5_secrets": op5_secrets,
+    "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
@@ -98,6 +118,7 @@ _URL_RULES = """(VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
     ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS r(verdict, host, path)"""
 
 ORACLES: dict[str, str] = {
+    "op6_packing": op6_packing,
     "op7_url_filter": f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
