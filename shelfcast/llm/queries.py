@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing, pieces, quality, secret_scan, sharding, simhash, url_filter
+from . import decontaminate, language, lattice, packing, pieces, quality, secret_scan, sharding, simhash, url_filter
 
 
 TOKEN_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -38,6 +38,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -109,6 +113,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
+    "op3_lattice_score": op3_lattice_score,
     "op4_language": op4_language,
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
