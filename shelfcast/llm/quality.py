@@ -161,11 +161,12 @@ def judge(docs: DataFrame, text: str = "text", max_loss: int = MAX_LOSS) -> Data
 def clean(docs: DataFrame, text: str = "text", max_loss: int = MAX_LOSS) -> DataFrame:
     """The documents that are kept, without their failed lines, with the columns of ``docs``.
 
-    A text that loses no line stays as it is. ``n_chars``, where present, follows the new text.
+    A text that loses no line stays as it is. ``n_chars``, where present, follows a text that changes.
     """
     held = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"))
     judged = judge(held, "text", max_loss).where("kept")
     new = {text: F.col("cleaned")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.char_length("cleaned").cast(docs.schema["n_chars"].dataType)
+        size = F.char_length("cleaned").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("cleaned") == F.col("text"), F.col("doc.n_chars")).otherwise(size)
     return judged.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -239,15 +239,16 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = columns.index(text)
-            texts = [redact(t.as_py()) for t in batch.column(place)]
-            yield batch.set_column(place, text, pa.array(texts, batch.schema.field(place).type))
-
-    out = docs.mapInArrow(run, schema)
-    if "n_chars" in columns and text != "n_chars":
-        kind = schema["n_chars"].dataType
-        changed = F.when(F.col(text).isNotNull(), F.char_length(text).cast(kind)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out
+            old = batch.column(place).to_pylist()
+            new = [redact(t) for t in old]
+            if "n_chars" in columns:
+                at = columns.index("n_chars")
+                sizes = batch.column(at).to_pylist()
+                sizes = [n if a == b else len(b) for a, b, n in zip(old, new, sizes, strict=True)]
+                batch = batch.set_column(at, "n_chars", pa.array(sizes, batch.schema.field(at).type))
+            yield batch.set_column(place, text, pa.array(new, batch.schema.field(place).type))
+
+    return docs.mapInArrow(run, schema)
 
 
 def joined(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
