@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, language, lattice, packing, pieces, quality, secret_scan, sharding, simhash, url_filter
+from .oracles import ORACLES  # noqa: F401
 
 
 TOKEN_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -122,31 +123,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_decontaminate": op10_decontaminate,
 }
-
-
-_URL_RULES = """(VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
-    ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS r(verdict, host, path)"""
-
-ORACLES: dict[str, str] = {
-    "op6_packing": op6_packing,
-    "op7_url_filter": f"""
-WITH cut AS (
-  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
-), parts AS (
-  SELECT page_id,
-    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1) AS path
-  FROM cut
-), best AS (
-  SELECT p.page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
-    max_by(r.verdict, length(r.host || r.path)) AS verdict
-  FROM parts p JOIN {_URL_RULES}
-    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
-  GROUP BY p.page_id
-)
-SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, CASE
-    WHEN regexp_matches(p.host, 'casino|adult|porn|xxx|-bets|betting|pills|viagra')
-      OR regexp_matches(p.host || p.path, '/wp-login[^/]*$|/cgi-bin/|[.]exe$') THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts p LEFT JOIN best b USING (page_id)
-""",
-}
