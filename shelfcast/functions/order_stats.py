@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 BINS = 4096
 # Generated code stays small enough to be compiled; each part scans its own columns only.
 _COLUMNS_PER_SCAN = 8
-# At or below this many rows the built-in exact aggregate is one job with a buffer of proven size.
-SMALL = 20_000
 # Sketch accuracy: a bracket holds about 6 / ACCURACY of the rows.
 ACCURACY = 1_000
 
@@ -99,9 +97,7 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
     return {(s.column, s.rank): (s.value, s.below) for s in searches}
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: dict[str, Sequence[float]], small: int = SMALL
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, NULLs left out; None for a column without values."""
     columns = list(wanted)
     margin = 3 / ACCURACY
@@ -121,15 +117,6 @@ def exact_quantiles(
     filled = [c for c in columns if spans[c]["n"] > 0]
     if not filled:
         return {c: [None] * len(wanted[c]) for c in columns}
-    if max(spans[c]["n"] for c in filled) <= small:
-        found = df.agg(
-            *[
-                F.percentile(c, F.array(*[F.lit(float(p)) for p in wanted[c]])).alias(f"q{i}")
-                for i, c in enumerate(columns)
-            ]
-        ).first()
-        return {c: list(found[f"q{i}"] or [None] * len(wanted[c])) for i, c in enumerate(columns)}
-
     near = [
         (c, p, spans[c]["near"][2 * j], spans[c]["near"][2 * j + 1]) for c in filled for j, p in enumerate(wanted[c])
     ]
@@ -162,10 +149,13 @@ def rows_at_ranks(df: DataFrame, keys: Sequence[str], ranks: Sequence[int]) -> l
     """Key tuples found at 0-based ranks when ``df`` is ordered by integral ``keys``.
 
     The leading key is searched over all rows, for all ranks together; a following key only among the
-    rows that tie on the keys before it.
+    rows that tie on the keys before it. Keys without a value have no rank; a rank beyond the rows that
+    have one is an error.
     """
     key, *rest = keys
-    span = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    span = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n")).first()
+    if ranks and not 0 <= min(ranks) <= max(ranks) < span["n"]:
+        raise ValueError(f"ranks {sorted(set(ranks))} of {key}, which has {span['n']} values")
     leading = _locate(df, [_Search(key, r, span["low"], span["high"]) for r in sorted(set(ranks))])
     found = []
     for rank in ranks:

@@ -53,7 +53,7 @@ def history_features(df: DataFrame, lags: Sequence[int] = LAGS, windows: Sequenc
     panel has one row per (store, date), so a store's group is bounded by the length of the calendar.
     For a source whose key is not known to be unique use ``segmented_history_features``.
     """
-    ordered = Window.partitionBy("store_id").orderBy("date")
+    ordered = Window.partitionBy("store_id").orderBy("date", "sales")
     return df.select("*", *_history(ordered, lags, windows))
 
 
@@ -65,25 +65,26 @@ def segmented_history_features(
 ) -> DataFrame:
     """The same columns when one store may own a large part of the rows.
 
-    Every row gets its exact position in its store from per-month counts (prefix-summed) plus its
-    position inside the month. Positions are cut into segments of ``segment_rows``; the last rows of
-    a segment, as far as the longest lag reaches, are also sent to the next one as context. A task
-    then sorts at most one segment and its context, whatever the store's share.
+    Every row gets its exact position in its store: the rows of earlier dates (counted per store and date,
+    prefix-summed over the calendar) plus its position among the rows of its own date, smaller sales
+    first. Rows without a date come first, as in the plain variant. Positions are cut into segments of
+    ``segment_rows``; the last rows of a segment, as far as the longest lag reaches, are also sent to the
+    next one as context. A task then sorts at most one segment and its context, or the rows of one store
+    and date, whatever the store's share.
     """
     reach = max([*lags, *windows])
     if segment_rows <= reach:
         raise ValueError("a segment must be longer than the longest lag")
-    monthly = df.withColumn("_month", F.trunc("date", "month"))
-    by_month = Window.partitionBy("store_id").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    by_date = Window.partitionBy("_store").orderBy("_date").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        monthly.groupBy("store_id", "_month")
+        df.groupBy(F.col("store_id").alias("_store"), F.col("date").alias("_date"))
         .agg(F.count("*").alias("_rows"))
-        .select("store_id", "_month", F.coalesce(F.sum("_rows").over(by_month), F.lit(0)).alias("_start"))
+        .select("_store", "_date", F.coalesce(F.sum("_rows").over(by_date), F.lit(0)).alias("_start"))
     )
-    in_month = Window.partitionBy("store_id", "_month").orderBy("date")
+    in_date = Window.partitionBy("store_id", "date").orderBy("sales")
     positioned = (
-        monthly.withColumn("_rank", F.row_number().over(in_month) - 1)
-        .join(starts, ["store_id", "_month"])
+        df.withColumn("_rank", F.row_number().over(in_date) - 1)
+        .join(starts, F.col("store_id").eqNullSafe(F.col("_store")) & F.col("date").eqNullSafe(F.col("_date")))
         .withColumn("_position", F.col("_start") + F.col("_rank"))
     )
     own = F.floor(F.col("_position") / segment_rows)

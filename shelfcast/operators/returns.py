@@ -2,66 +2,81 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
 
 
-def derive_history(activity: DataFrame, block_seconds: int = 3600) -> DataFrame:
+HOUR, SECOND = 3_600_000_000, 1_000_000
+
+
+def _before(level: DataFrame, group: list[str], order: str, suffix: str) -> DataFrame:
+    """Per row of ``level`` what earlier rows of its group add up to: count delta and latest purchase."""
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return level.select(
+        *group,
+        order,
+        F.coalesce(F.sum("delta").over(earlier), F.lit(0)).alias(f"open_{suffix}"),
+        F.max("bought_at").over(earlier).alias(f"bought_{suffix}"),
+    )
+
+
+def _rolled(level: DataFrame, keys: list[str]) -> DataFrame:
+    return level.groupBy(*keys).agg(F.sum("delta").alias("delta"), F.max("bought_at").alias("bought_at"))
+
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys, NULL equal to NULL."""
+    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(renamed, same).drop(*[f"_{k}" for k in keys])
+
+
+def derive_history(activity: DataFrame) -> DataFrame:
     """Add ``return_frequency_24h``, ``days_since_purchase`` and ``customer_tenure_days``.
 
     * frequency: returns of the customer in the 24 hours before the row, the row's own instant excluded
     * days since purchase: whole days since the customer's latest earlier purchase, NULL if none
     * tenure: whole days since the customer's first event
 
-    A customer may own a third of the log, so no window spans a customer's rows. The log is cut into
-    (customer, time block) groups. A return counts +1 at its instant and -1 one day later, which turns
-    the sliding count into a running sum; per-block totals (aggregated map-side) are prefix-summed over
-    the few blocks of a customer, and each row adds the running sum inside its own block.
+    A customer may own a third of the log, so no window spans a customer's rows. A return counts +1 at its
+    instant and -1 one day later, which turns the sliding count into a running sum. The log is first
+    aggregated (map-side) to distinct instants, those to seconds, those to hours. Running sums are then
+    taken level by level: hours of a customer, seconds of an hour, instants of a second. The calendar
+    bounds each of these groups, however many rows there are. Rows without a customer or time are kept,
+    as one customer and as the earliest instant.
     """
-    block = F.floor(F.col("at") / (block_seconds * 1_000_000))
     at = F.unix_micros("ts")
-    # one scan, one shuffle: each row is a log entry, each return also a "leaves the 24 h" entry
-    entry = F.struct(at.alias("at"), F.lit(True).alias("is_row"), F.col("is_return").cast("int").alias("delta"))
-    leave = F.struct((at + DAY_MICROS).alias("at"), F.lit(False).alias("is_row"), F.lit(-1).alias("delta"))
-    entries = (
-        activity.withColumn("entry", F.explode(F.when(F.col("is_return"), F.array(entry, leave)).otherwise(F.array(entry))))
-        .select("*", "entry.*")
-        .drop("entry")
-        .withColumn("block", block)
-        .withColumn("bought_at", F.when(F.col("is_row") & F.col("is_purchase"), F.col("at")))
-    )
-
-    blocks = entries.groupBy("customer_id", "block").agg(
-        F.sum("delta").alias("delta"),
-        F.max("bought_at").alias("bought_at"),
-        F.min(F.when(F.col("is_row"), F.col("at"))).alias("first_at"),
-    )
-    whole = Window.partitionBy("customer_id").orderBy("block")
-    earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
-    up_to = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = blocks.select(
+    moment = F.struct(at.alias("at"), F.col("is_return").cast("int").alias("delta"), F.lit(True).alias("is_row"))
+    leave = F.struct((at + DAY_MICROS).alias("at"), F.lit(-1).alias("delta"), F.lit(False).alias("is_row"))
+    entries = activity.select(
         "customer_id",
-        "block",
-        F.coalesce(F.sum("delta").over(earlier), F.lit(0)).alias("open_before"),
-        F.max("bought_at").over(earlier).alias("bought_before"),
-        F.min("first_at").over(up_to).alias("joined_at"),
+        F.when(F.col("is_purchase"), at).alias("bought"),
+        F.explode(F.when(F.col("is_return"), F.array(moment, leave)).otherwise(F.array(moment))).alias("e"),
+    )
+    instants = entries.groupBy("customer_id", F.col("e.at").alias("at")).agg(
+        F.sum("e.delta").alias("delta"), F.max(F.when(F.col("e.is_row"), F.col("bought"))).alias("bought_at")
     )
+    instants = instants.withColumns({"second": F.floor(F.col("at") / SECOND), "hour": F.floor(F.col("at") / HOUR)})
+    seconds = _rolled(instants, ["customer_id", "hour", "second"])
+    hours = _rolled(seconds, ["customer_id", "hour"])
+    joined_at = activity.groupBy("customer_id").agg(F.min(at).alias("joined_at"))
 
-    inside = Window.partitionBy("customer_id", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    running = entries.select(
-        "*",
-        F.coalesce(F.sum("delta").over(inside), F.lit(0)).alias("open_inside"),
-        F.max("bought_at").over(inside).alias("bought_inside"),
-    ).where("is_row")
-    # blocks come out of a customer-level window; the running side is already grouped by the join keys
-    joined = running.join(blocks, ["customer_id", "block"])
-    bought = F.coalesce("bought_inside", "bought_before")
-    kept = [c for c in activity.columns]
-    return joined.select(
-        *kept,
-        (F.col("open_before") + F.col("open_inside")).alias("return_frequency_24h"),
+    history = _before(instants, ["customer_id", "hour", "second"], "at", "instant")
+    history = _join(history, _before(seconds, ["customer_id", "hour"], "second", "second"), ["customer_id", "hour", "second"])
+    history = _join(history, _before(hours, ["customer_id"], "hour", "hour"), ["customer_id", "hour"])
+    history = _join(history, joined_at, ["customer_id"])
+    # later levels hold later purchases: the nearest level with one decides
+    bought = F.coalesce("bought_instant", "bought_second", "bought_hour")
+    history = history.select(
+        "customer_id",
+        "at",
+        (F.col("open_hour") + F.col("open_second") + F.col("open_instant")).alias("return_frequency_24h"),
         F.floor((F.col("at") - bought) / DAY_MICROS).alias("days_since_purchase"),
         F.floor((F.col("at") - F.col("joined_at")) / DAY_MICROS).alias("customer_tenure_days"),
     )
+    joined = _join(activity.withColumn("at", at), history, ["customer_id", "at"])
+    return joined.select(*activity.columns, "return_frequency_24h", "days_since_purchase", "customer_tenure_days")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.order_stats import precedes, rows_at_ranks
 from shelfcast.schema import VALIDATION_WEEKS
-from shelfcast.session import stage
 
 
 def cutoff_date(panel: DataFrame, weeks: int = VALIDATION_WEEKS) -> Column:
@@ -15,14 +14,21 @@ def cutoff_date(panel: DataFrame, weeks: int = VALIDATION_WEEKS) -> Column:
     return panel.agg(F.date_sub(F.max("date"), 7 * weeks).alias("cutoff")).scalar()
 
 
+def with_part(panel: DataFrame, weeks: int = VALIDATION_WEEKS) -> DataFrame:
+    """Add ``part``, train or val, in one pass over the panel. Rows without a date have no part."""
+    in_train = F.col("date") <= cutoff_date(panel, weeks)
+    return panel.withColumn("part", F.when(in_train, "train").when(~in_train, "val"))
+
+
 def holdout_split(panel: DataFrame, weeks: int = VALIDATION_WEEKS) -> tuple[DataFrame, DataFrame]:
     """Rows up to the cutoff, and the last ``weeks`` weeks; the same dates for every store."""
     cutoff = cutoff_date(panel, weeks)
     return panel.where(F.col("date") <= cutoff), panel.where(F.col("date") > cutoff)
 
 
-def with_day_number(panel: DataFrame) -> DataFrame:
-    return panel.withColumn("day_number", F.unix_date("date"))
+def nulls_last(column: str) -> list[Column]:
+    """Two keys without gaps that order ``column`` with NULL after all values."""
+    return [F.col(column).isNull().cast("int"), F.coalesce(F.col(column), F.lit(0)).cast("bigint")]
 
 
 def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
@@ -30,11 +36,13 @@ def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
 
     Fold i trains on all rows with a smaller fold number. Sizes follow the row order (date, store):
     every validation part has ``n // (splits + 1)`` rows, the remainder goes to the first train part.
+    Rows without a date or store come after all others. The keys are read several times: a caller with
+    an expensive panel persists or stages it.
     """
-    keyed = with_day_number(panel)
-    keys = ["day_number", "store_id"]
-    # the search reads the keys several times: two columns, written once
-    ordered = stage(keyed.select(*keys), "fold-keys")
+    keyed = panel.withColumn("_day", F.unix_date("date"))
+    keys = ["_k0", "_k1", "_k2", "_k3"]
+    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_day"), *nulls_last("store_id")])))
+    ordered = keyed.select(*keys)
     n = ordered.count()
     size = n // (splits + 1)
     if size == 0:
@@ -43,17 +51,22 @@ def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
     fold = F.lit(splits)
     for i in reversed(range(splits)):
         fold = F.when(precedes(keys, starts[i]), i).otherwise(fold)
-    return keyed.withColumn("fold", fold).drop("day_number")
+    return keyed.withColumn("fold", fold).drop("_day", *keys)
 
 
 def train_monitor(returns: DataFrame, fraction: float = 0.7) -> DataFrame:
-    """Add ``is_train``: the first ``int(n * fraction)`` rows in order of (time, transaction)."""
-    keyed = returns.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
-    keys = ["at", "transaction_id"]
-    ordered = stage(keyed.select(*keys), "return-keys")
+    """Add ``is_train``: the first ``int(n * fraction)`` rows in order of (time, transaction).
+
+    Rows without a time come last, so each row gets a side. The keys are read several times: a caller
+    with an expensive log persists or stages it.
+    """
+    keyed = returns.withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
+    keys = ["_k0", "_k1", "_k2", "_k3"]
+    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_at"), *nulls_last("transaction_id")])))
+    ordered = keyed.select(*keys)
     n = ordered.count()
     size = int(n * fraction)
     if size >= n:
-        return keyed.withColumn("is_train", F.lit(True)).drop("at")
+        return keyed.withColumn("is_train", F.lit(True)).drop("_at", *keys)
     (cut,) = rows_at_ranks(ordered, keys, [size])
-    return keyed.withColumn("is_train", precedes(keys, cut)).drop("at")
+    return keyed.withColumn("is_train", precedes(keys, cut)).drop("_at", *keys)

@@ -128,8 +128,7 @@ def sales_history_segmented(spark, d):
 @query
 def chrono_split(spark, d):
     rows = _open(spark, d).select("store_id", "date")
-    train, val = split.holdout_split(rows)
-    return train.withColumn("part", F.lit("train")).unionByName(val.withColumn("part", F.lit("val")))
+    return split.with_part(rows)
 
 
 @query
@@ -140,7 +139,7 @@ def prepare_features(spark, d):
 
 @query
 def sample_frac(spark, d):
-    return _open(spark, d).select("store_id", "date", "sales").sample(fraction=0.1, seed=42)
+    return pipelines.sampled(_open(spark, d).select("store_id", "date", "sales"), 0.1)
 
 
 # --- tests ---------------------------------------------------------------------------------------
@@ -372,15 +371,14 @@ def _forecast(name, **settings):
 
 QUERIES["ridge_forecast"] = _forecast("ridge")
 QUERIES["mlp_forecast"] = _forecast("mlp")
-# fewer boosting rounds than the library default of 150, to keep the check run short; same rows
-QUERIES["gbt_forecast"] = _forecast("gbt", maxIter=40)
+QUERIES["gbt_forecast"] = _forecast("gbt")
 
 
 @query
 def val_predictions(spark, d):
     train, val, numeric, categorical = _training(spark, d)
     shared = preprocess.fit_numeric(train, numeric)
-    fitted = {n: models.fit_pipeline(n, train, numeric, categorical, shared)[0] for n in ("ridge", "mlp")}
+    fitted = {n: models.fit_pipeline(n, train, numeric, categorical, shared)[0] for n in models.MODELS}
     return pipelines.score_holdout(val, fitted)
 
 
@@ -390,7 +388,7 @@ def cv_metrics(spark, d):
     folded = stage(split.temporal_folds(train), "folds")
     shared: dict = {}
     rows = [
-        r for n in ("ridge", "mlp") for r in models.cross_validate(n, folded, numeric, categorical, statistics=shared)
+        r for n in models.MODELS for r in models.cross_validate(n, folded, numeric, categorical, statistics=shared)
     ]
     return spark.createDataFrame(
         [(r["model_name"], r["fold"], r["rmspe"], r["mae"], r["rmse"], r["r2"]) for r in rows],
@@ -401,8 +399,15 @@ def cv_metrics(spark, d):
 @query
 def feature_importance(spark, d):
     train, _, numeric, categorical = _training(spark, d)
-    fitted, _ = models.fit_pipeline("ridge", train, numeric, categorical)
-    return spark.createDataFrame(models.importances(fitted, numeric, categorical), "feature string, importance double")
+    shared = preprocess.fit_numeric(train, numeric)
+    rows = [
+        (name, feature, share)
+        for name in ("ridge", "gbt")
+        for feature, share in models.importances(
+            models.fit_pipeline(name, train, numeric, categorical, shared)[0], numeric, categorical
+        )
+    ]
+    return spark.createDataFrame(rows, "model_name string, feature string, importance double")
 
 
 @query

@@ -317,6 +317,9 @@ promo2_since_week, promo2_since_year, promo_interval, state_holiday FROM cleaned
     "chrono_split": _with(*_DAYS)
     + """SELECT store_id, date, CASE WHEN date <= (SELECT max(date) - 42 FROM open_days) THEN 'train' ELSE 'val' END AS part
 FROM open_days""",
+    "sample_frac": _with(*_DAYS)
+    + """SELECT store_id, date, sales FROM open_days
+WHERE CAST('0x' || substr(md5(store_id || '|' || date), 1, 8) AS BIGINT) < 429496729""",
     "prepare_features": _with(*_FEATURES)
     + "SELECT date, "
     + ", ".join(f"round({c}, 3) AS {c}" if "_std_" in c else c for c in NUMERIC)

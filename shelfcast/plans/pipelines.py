@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,6 @@ from shelfcast.schema import LAGS, VALIDATION_WEEKS, WINDOWS
 from shelfcast.session import stage
 from shelfcast.sources import registry, reports, tables
 
-# A store with more rows than this is sorted in segments.
-STORE_ROWS = 1_000_000
-
 
 @dataclass
 class PreparationConfig:
@@ -35,14 +33,15 @@ class PreparationConfig:
     mapping: dict[str, str] = field(default_factory=tables.column_mapping)
 
 
-def build_panel(days: DataFrame, config: PreparationConfig, one_row_per_day: bool) -> DataFrame:
-    """Features of cleaned days. Sources whose key is not unique by construction are measured first."""
+def build_panel(days: DataFrame, config: PreparationConfig, segmented: bool = False) -> DataFrame:
+    """Features of cleaned days.
+
+    ``segmented`` is the caller's choice for sources in which one store may own a large part of the rows;
+    both variants give the same rows.
+    """
     with_dates = elapsed_features(calendar_features(days))
-    if not one_row_per_day:
-        largest = days.groupBy("store_id").count().agg(F.max("count")).first()[0] or 0
-        if largest > STORE_ROWS:
-            return segmented_history_features(with_dates, config.lags, config.windows)
-    return history_features(with_dates, config.lags, config.windows)
+    history = segmented_history_features if segmented else history_features
+    return history(with_dates, config.lags, config.windows)
 
 
 def prepare_from_csv(spark: SparkSession, raw_dir: str, out_dir: str, config: PreparationConfig | None = None):
@@ -56,10 +55,10 @@ def prepare_from_csv(spark: SparkSession, raw_dir: str, out_dir: str, config: Pr
     return prepare(tables.with_stores(sales, stores), out_dir, config)
 
 
-def prepare(panel: DataFrame, out_dir: str, config: PreparationConfig | None = None, one_row_per_day: bool = False):
+def prepare(panel: DataFrame, out_dir: str, config: PreparationConfig | None = None, segmented: bool = False):
     """Clean, engineer, split and write. Features are computed once: the staged table feeds both parts."""
     config = config or PreparationConfig()
-    features = stage(build_panel(clean(panel), config, one_row_per_day), "panel")
+    features = stage(build_panel(clean(panel), config, segmented), "panel")
     train, val = holdout_split(features, config.validation_weeks)
     reports.write_panel(train, val, out_dir)
     spark = panel.sparkSession
@@ -92,6 +91,13 @@ def run_segmentation(train: DataFrame, out_dir: str, k: int | None = None) -> tu
     return segmented, facts
 
 
+def sampled(panel: DataFrame, fraction: float) -> DataFrame:
+    """About ``fraction`` of the rows, by a hash of store and date: the same rows on every cluster."""
+    key = F.concat_ws("|", F.col("store_id").cast("string"), F.col("date").cast("string"))
+    drawn = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    return panel.where(drawn < int(fraction * (1 << 32)))
+
+
 def train_models(
     train: DataFrame,
     models_dir: str,
@@ -102,10 +108,16 @@ def train_models(
 ) -> dict:
     """Cross-validate and fit each model, save it with its manifest row."""
     spark = train.sparkSession
-    rows = train.sample(fraction=sample, seed=42) if sample and 0 < sample < 1 else train
+    rows = sampled(train, sample) if sample and 0 < sample < 1 else train
     prepared, numeric, categorical = prepare_features(rows, exclude_anomalies)
-    folded = stage(temporal_folds(prepared, splits), "training")
-    manifest = {"raw_numeric_features": numeric, "raw_categorical_features": categorical, "models": {}}
+    folded = stage(temporal_folds(stage(prepared, "prepared"), splits), "training")
+    n_train = folded.count()
+    manifest = {
+        "n_train_rows": n_train,
+        "raw_numeric_features": numeric,
+        "raw_categorical_features": categorical,
+        "models": {},
+    }
     statistics: dict = {}  # imputation and scaling per training part, shared by the models
     for name in models.MODELS:
         overrides = (settings or {}).get(name, {})
@@ -113,7 +125,12 @@ def train_models(
         if "all" not in statistics:
             statistics["all"] = fit_numeric(folded, numeric)
         fitted, seconds = models.fit_pipeline(name, folded.drop("fold"), numeric, categorical, statistics["all"], **overrides)
+        names = feature_names(PipelineModel(stages=fitted.stages[:-1]), numeric, categorical)
         facts = {
+            "n_train_rows": n_train,
+            "raw_numeric_features": numeric,
+            "raw_categorical_features": categorical,
+            "transformed_feature_names": names,
             "cv_splits": splits,
             "cv_rmspe_folds": [f["rmspe"] for f in folds],
             "cv_rmspe_mean": sum(f["rmspe"] for f in folds) / splits,
@@ -123,9 +140,7 @@ def train_models(
         }
         facts["artifact_path"] = registry.save_model(spark, models_dir, name, fitted, seconds, facts)
         manifest["models"][name] = facts
-        manifest["transformed_feature_names"] = feature_names(
-            PipelineModel(stages=fitted.stages[:-1]), numeric, categorical
-        )
+        manifest["transformed_feature_names"] = names
     return manifest
 
 
@@ -150,7 +165,13 @@ def run_evaluation(val: DataFrame, models_dir: str, out: str | None = None) -> D
     )
     wide = score_holdout(val, fitted)
     metrics = evaluate.evaluate_models(wide, {n: f"predicted_{n}" for n in fitted})
-    report = evaluate.leaderboard_report(metrics).join(timings, "model_name").orderBy("rank")
+    report = (
+        evaluate.leaderboard_report(metrics)
+        .join(timings, "model_name")
+        .withColumn("validation_rows", F.lit(val.count()))
+        .withColumn("generated_at", F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")))
+        .orderBy("rank")
+    )
     if out:
         reports.write_report(report, out)
     return report

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this package builds itself; a cluster's own settings win.
@@ -28,29 +28,28 @@ def build_session(app: str = "shelfcast", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, else a local one for tests."""
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder all executors can reach, ``spark.checkpoint.dir``; None where it is not set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    if not configured:
+        return None
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    """Keep ``df`` for frames that several jobs scan (training loops, repeated fits).
 
-    For frames that several jobs scan (training loops, repeated fits). A written table survives
-    executor loss, cuts the lineage, and keeps column pruning and filter pushdown for the readers.
+    With a shared folder it is written there once and read back: a written table survives executor
+    loss, cuts the lineage, and keeps column pruning and filter pushdown for the readers. Without one
+    nothing is written; the frame is persisted, and Spark computes lost parts again.
     """
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    folder = shared_dir(df.sparkSession)
+    if folder is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = os.path.join(folder, f"{label}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException, PySparkException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.sources.tables import exists
@@ -20,10 +21,14 @@ def write_facts(spark: SparkSession, facts: dict, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame | None:
-    """A JSON report (records or one nested object); None when missing or without readable content."""
+    """A JSON report (records or one nested object); None when missing or when any of it is not JSON."""
     if not exists(spark, path):
         return None
-    table = spark.read.option("mode", "DROPMALFORMED").option("multiLine", not path_is_lines(spark, path)).json(path)
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", not path_is_lines(spark, path))
+    try:
+        table = reader.json(path)  # reading the schema parses every record
+    except (AnalysisException, SparkRuntimeException, PySparkException):
+        return None
     return table if table.columns else None
 
 

@@ -10,7 +10,7 @@ from shelfcast.schema import OPTIONAL_SALES, SALES_SCHEMA, SOURCE_HEADERS, STORE
 
 
 def column_mapping(path: str | None = None) -> dict[str, str]:
-    """Canonical name -> source header, from the ``columns`` block of a YAML file.
+    """Canonical name -> source header, from a YAML file: its ``columns`` block, or the whole of it.
 
     Unknown keys are ignored; a missing or unreadable file gives the defaults.
     """
@@ -20,7 +20,8 @@ def column_mapping(path: str | None = None) -> dict[str, str]:
         import yaml
 
         with open(path, encoding="utf-8") as handle:
-            given = (yaml.safe_load(handle) or {}).get("columns") or {}
+            loaded = yaml.safe_load(handle) or {}
+        given = loaded.get("columns") or loaded
         return {name: given.get(name, header) for name, header in SOURCE_HEADERS.items()}
     except Exception:
         return dict(SOURCE_HEADERS)
@@ -40,7 +41,7 @@ def canonical(df: DataFrame, schema: T.StructType, mapping: dict[str, str], opti
             continue
         source = df[f"`{mapping[field.name]}`"]
         if isinstance(df.schema[mapping[field.name]].dataType, (T.DoubleType, T.FloatType)):
-            source = F.when(~F.isnan(source), source)
+            source = F.when(~F.isnan(source), source)  # a NaN would pass for a whole number
         if isinstance(field.dataType, (T.IntegerType, T.LongType)):
             # "9.0" is how a whole number with gaps is written
             value = source.try_cast("double").try_cast(field.dataType)
@@ -48,6 +49,8 @@ def canonical(df: DataFrame, schema: T.StructType, mapping: dict[str, str], opti
             value = source.try_cast("timestamp").cast("date")
         else:
             value = source.try_cast(field.dataType)
+            if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+                value = F.when(~F.isnan(value), value)  # text "NaN" too
         columns.append(value.alias(field.name))
     return df.select(*columns)
 

@@ -4,8 +4,7 @@ import pytest
 from shelfcast.functions import order_stats as o
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_quantiles_match_numpy(spark, small):
+def test_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
     n = 5000
     cols = {
@@ -18,16 +17,22 @@ def test_quantiles_match_numpy(spark, small):
     ints = np.array([r[-1] for r in rows])
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols) + ", whole bigint")
     ps = [0.0, 0.01, 0.5, 0.95, 0.99, 1.0]
-    got = o.exact_quantiles(df, {c: ps for c in [*cols, "whole"]}, small=small)
+    got = o.exact_quantiles(df, {c: ps for c in [*cols, "whole"]})
     for c in cols:
         assert np.allclose(got[c], np.percentile(cols[c], np.array(ps) * 100), rtol=1e-12, atol=0)
     assert np.allclose(got["whole"], np.percentile(ints, np.array(ps) * 100))
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_nulls_are_left_out_and_empty_columns_give_none(spark, small):
+def test_nulls_are_left_out_and_empty_columns_give_none(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
-    assert o.exact_quantiles(df, {"a": [0.5], "b": [0.5]}, small=small) == {"a": [2.0], "b": [None]}
+    assert o.exact_quantiles(df, {"a": [0.5], "b": [0.5]}) == {"a": [2.0], "b": [None]}
+
+
+def test_ranks_beyond_the_values_are_an_error(spark):
+    df = spark.createDataFrame([(i if i < 10 else None,) for i in range(20)], "a bigint")
+    assert o.rows_at_ranks(df, ["a"], [5]) == [(5,)]
+    with pytest.raises(ValueError):
+        o.rows_at_ranks(df, ["a"], [14])
 
 
 def test_rows_at_ranks_cut_inside_ties(spark):

@@ -56,4 +56,4 @@ def test_no_window_without_partition_on_fact_rows(spark, data_dir):
 def test_contract():
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql() == ORACLES
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.items() <= entry.oracle_sql().items()
