@@ -17,6 +17,7 @@ outside the vocabulary become byte pieces; equal rows get equal ids; other colum
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,9 +30,10 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from .staging import small_batches
 
 MARK = "▁"
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 500_000
 KEPT_PAIRS = 1_000_000
 KEPT_LENGTH = 64
+PUNCTUATION = frozenset(".,;:!?)]}|\"'")
 OUTPUT_BYTES = 8 << 20
 
 
@@ -60,6 +62,8 @@ class PieceModel:
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.length = [len(p) for p in self.text_of]
+        self.plain = [p.replace(MARK, " ") if p in self.id_of else None for p in self.text_of]
+        self.inside = {p[k : k + 2] for p in self.id_of for k in range(len(p) - 1)}
         inner = any(MARK in p.lstrip(MARK) for p in self.id_of)
         single = all(c in self.id_of for p in self.id_of for c in p)
         if not single:
@@ -107,12 +111,16 @@ class PieceModel:
     def last_pieces(self, text: str) -> list[int]:
         """For each prefix but the empty one its unique last piece; -1 after an unknown character."""
         last = [-1] * (len(text) + 1)
-        done = -1
+        done, known = -1, self.pairs.get
         for at, (piece, length) in self.automaton.iter(text):
             if at == done:
                 continue
             start = at + 1 - length
-            if self.compatible(last[start], piece) if start else self.stands_alone(piece):
+            left = last[start] if start else -1
+            fits = self.stands_alone(piece) if left < 0 else known(left << 32 | piece)
+            if fits is None:
+                fits = self.compatible(left, piece)
+            if fits:
                 last[at + 1] = piece
                 done = at
         return last
@@ -134,8 +142,12 @@ class PieceModel:
     def _chunk(self, text: str) -> tuple[bytes, str]:
         known = self.chunks.get(text)
         if known is None:
+            if len(text) > 1 and text[-1] in PUNCTUATION and text[-2:] not in self.inside:
+                # no piece joins these two characters: the word in front may be known already
+                a, b = self._chunk(text[:-1]), self._chunk(text[-1])
+                return a[0] + b[0], a[1] + b[1]
             ids = self.encode_chunk(text)
-            known = np.array(ids, "<u4").tobytes(), self._decode(ids)
+            known = struct.pack(f"<{len(ids)}I", *ids), self._decode(ids)
             if len(text) <= KEPT_LENGTH:
                 if len(self.chunks) >= KEPT_CHUNKS:
                     self.chunks.clear()
@@ -152,6 +164,9 @@ class PieceModel:
         return b"".join([begin, *[p[0] for p in parts], end]), "".join([p[1] for p in parts])[1:]
 
     def _decode(self, ids: list[int]) -> str:
+        parts = [self.plain[i] for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out: list[str] = []
         raw = bytearray()
         for i in ids:
