@@ -85,10 +85,13 @@ class ByteGru:
             self.p[f"v{side}"] = small(classes, hidden)
         self.p["c"] = np.zeros((classes, 1), np.float32)
 
-    def _run(self, side: str, steps: np.ndarray, kept: list | None = None) -> np.ndarray:
+    def _run(
+        self, side: str, steps: np.ndarray, real: np.ndarray | None = None, kept: list | None = None
+    ) -> np.ndarray:
         """This side's part of the logits after each step (``steps``: one row of bytes a step).
 
-        ``kept`` gets what backpropagation needs.
+        Where not ``real`` the state stays zero, so that reading backwards begins at a text's own end, not
+        in what pads it. ``kept`` gets what backpropagation needs.
         """
         table, weights, out_weights, h = self.p[f"x{side}"], self.p[f"u{side}"], self.p[f"v{side}"], self.hidden
         # the half of sigmoid(a) = (1 + tanh(a / 2)) / 2 goes into the weights
@@ -111,20 +114,22 @@ class ByteGru:
             new = candidate - state
             new *= update
             new += state
+            if real is not None:
+                new *= real[t]
             if kept is not None:
                 kept.append((chars, state, inner, reset, update, candidate, new))
             state = new
             np.matmul(out_weights, state, out=logits[t])
         return logits
 
-    def _back(self, side: str, kept: list, d_logits: np.ndarray, grads: dict) -> None:
+    def _back(self, side: str, kept: list, d_logits: np.ndarray, real: np.ndarray, grads: dict) -> None:
         weights, out_weights = self.p[f"u{side}"], self.p[f"v{side}"]
         d_weights, d_out = np.zeros_like(weights), np.zeros_like(out_weights)
         d_x, later = [], np.zeros_like(kept[0][1])
         for t in range(len(kept) - 1, -1, -1):
             _, state, inner, reset, update, candidate, new = kept[t]
             d_out += d_logits[t] @ new.T
-            d = out_weights.T @ d_logits[t] + later
+            d = (out_weights.T @ d_logits[t] + later) * real[t]
             d_candidate = d * update * (1 - candidate**2)
             d_update = d * (candidate - state) * update * (1 - update)
             d_reset = d_candidate * inner * reset * (1 - reset)
@@ -156,7 +161,8 @@ class ByteGru:
     def gradients(self, steps: np.ndarray, real: np.ndarray, labels: np.ndarray) -> tuple[dict, float]:
         """Gradients of the mean log loss over the positions that are ``real``, and the loss."""
         kept_f, kept_b = [], []
-        logits = self._run("f", steps, kept_f) + self._run("b", steps[::-1], kept_b)[::-1] + self.p["c"]
+        back = real[::-1]
+        logits = self._run("f", steps, real, kept_f) + self._run("b", steps[::-1], back, kept_b)[::-1] + self.p["c"]
         d = self._shares(logits)
         weight = (real / real.sum()).astype(np.float32)
         columns = np.arange(len(labels))
@@ -164,8 +170,8 @@ class ByteGru:
         d[:, labels, columns] -= 1
         d *= weight[:, None, :]
         grads = {"c": d.sum((0, 2))[:, None]}
-        self._back("f", kept_f, d, grads)
-        self._back("b", kept_b, d[::-1], grads)
+        self._back("f", kept_f, d, real, grads)
+        self._back("b", kept_b, d[::-1], back, grads)
         return grads, loss
 
     @staticmethod
@@ -175,13 +181,16 @@ class ByteGru:
         logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
-    def window_sums(self, windows: np.ndarray, before: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def window_sums(
+        self, windows: np.ndarray, lengths: np.ndarray, before: np.ndarray, sizes: np.ndarray
+    ) -> np.ndarray:
         """Sums of the positions' distributions over each window's own ``sizes`` bytes after ``before`` bytes."""
         steps = np.ascontiguousarray(windows.T)
+        at = np.arange(len(steps))[:, None]
+        real = at < lengths if lengths.min() < len(steps) else None
         logits = self._run("f", steps)
-        logits += self._run("b", steps[::-1])[::-1]
+        logits += self._run("b", steps[::-1], None if real is None else real[::-1])[::-1]
         logits += self.p["c"]
-        at = np.arange(len(steps))[:, None]
         shares = self._shares(logits)
         shares *= ((at >= before) & (at < before + sizes))[:, None, :]
         return shares.sum(axis=0, dtype=np.float64).T
@@ -200,7 +209,8 @@ class ByteGru:
             matrix = np.frombuffer(b"".join(r.ljust(longest, b"\0") for r in raw), np.uint8).reshape(-1, longest)
             before = np.array([min(at, CONTEXT) for _, at in part])
             sizes = np.array([min(SPAN, len(texts[i]) - at) for i, at in part])
-            np.add.at(out, [i for i, _ in part], self.window_sums(matrix, before, sizes))
+            lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+            np.add.at(out, [i for i, _ in part], self.window_sums(matrix, lengths, before, sizes))
         return out / np.array([max(1, len(t)) for t in texts])[:, None]
 
 

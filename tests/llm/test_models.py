@@ -1,0 +1,172 @@
+"""Piece encoding, lattice likelihood and language identification."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from llm_rows import PROSE, SPANISH, empty, odd, odd_rows, tables  # noqa: F401
+from pyspark.sql import functions as F
+
+from shelfcast.llm import language, lattice, pieces, queries
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.PieceModel(queries.PIECE_MODEL)
+
+
+PARTS = ["a", " ", "  ", "▁", "\n", "é", "日", "🙂", "\t", "in", "the", "tion", "'", ".", "0", "\x00", "ß", "①"]
+PARTS += ["<s>", "<0x41>", "\r\n", " \n ", "aaaa", "\xa0", "ing", ",", "!?", '."', "</s>", "‍", "=", "=="]
+
+
+def test_pieces_equal_the_library(library, model):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", " ", " " * 1000, "a" * 5000, "ab" * 3000, "=" * 300, "🙂" * 50, PROSE * 20, SPANISH]
+    for text in texts:
+        raw, decoded = model.encode(text)
+        ids = np.frombuffer(raw, "<u4").tolist()
+        assert ids == library.encode(text, add_bos=True, add_eos=True)
+        assert decoded == model.decode(ids) == library.decode(ids)
+
+
+def test_decoding_any_ids(library, model):
+    rng = random.Random(4)
+    for _ in range(500):
+        ids = [rng.choice([1, 2, rng.randint(3, 258), rng.randint(259, 31999)]) for _ in range(rng.randint(0, 12))]
+        assert model.decode(ids) == library.decode(ids)
+
+
+def test_piece_query(spark, odd, empty, tables, library):
+    got = queries.QUERIES["op8_sentencepiece"](spark, tables(documents=odd)).collect()
+    expected = Counter()
+    for doc_id, text, *_ in odd_rows():
+        ids = library.encode(text or "", add_bos=True, add_eos=True)
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        expected[doc_id, len(ids), digest, hashlib.sha256(library.decode(ids).encode()).hexdigest()] += 1
+    assert Counter(tuple(r) for r in got) == expected
+    kept = pieces.encoded(odd, queries.PIECE_MODEL)
+    assert {"kept", "Row"} <= set(kept.columns) and kept.count() == odd.count()
+    assert pieces.encoded(empty, queries.PIECE_MODEL).count() == 0
+
+
+TOY = (["▁", "▁a", "a", "b", "ab", "▁ab", "c", "bc"], [math.log(p) for p in (0.1, 0.1, 0.15, 0.2, 0.15, 0.1, 0.1, 0.1)], {})
+
+
+def paths(text, score):
+    """Probabilities of all segmentations, one by one."""
+    if not text:
+        return [([], 1.0)]
+    return [
+        ([text[:k], *rest], math.exp(score[text[:k]]) * p)
+        for k in range(1, len(text) + 1)
+        if text[:k] in score
+        for rest, p in paths(text[k:], score)
+    ]
+
+
+@pytest.mark.parametrize("word", ["a", "ab", "abc", "abab", "bcabc"])
+def test_lattice_sums_all_segmentations(word):
+    toy, score = lattice.Lattice(*TOY), dict(zip(TOY[0], TOY[1], strict=True))
+    every = paths("▁" + word, score)
+    total = sum(p for _, p in every)
+    assert toy.log_probability(word) == pytest.approx(math.log(total))
+    counts = np.zeros(len(TOY[0]))
+    toy.expect(word, counts)
+    expected = [sum(p * path.count(piece) for path, p in every) / total for piece in TOY[0]]
+    assert counts == pytest.approx(expected)
+
+
+def test_lattice_spells_unknown_characters_in_bytes():
+    vocab = lattice.vocabulary(queries.PIECE_MODEL)
+    assert sum(map(math.exp, vocab[1])) == pytest.approx(1.0)
+    full = lattice.Lattice(*vocab)
+    assert -math.inf < full.log_probability("①x") < full.log_probability("x") < 0
+
+
+def brute_base(rows):
+    tokens = [[*WORD.findall((t or "").encode().lower()), None] for _, t in rows]
+    train = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for i, _ in rows]
+    c = Counter(w for ws, is_train in zip(tokens, train, strict=True) if is_train for w in ws)
+    total, distinct = sum(c.values()), len(c)
+    for (i, _), ws, is_train in zip(rows, tokens, train, strict=True):
+        base = sum(math.log10((c[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
+        yield i, not is_train, len(ws), sum(c[w] > 0 for w in ws), total, round(base, 6)
+
+
+@pytest.mark.parametrize("hot", [0, 20])
+def test_lattice_scores(spark, odd, empty, hot):
+    docs = odd.select("doc_id", "text", "kept")
+    docs = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 100))
+    got = lattice.score(docs, queries.PIECE_MODEL, hot_words=hot).collect()
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
+    assert found == Counter(brute_base(rows))
+    assert all(r.score < 0 for r in got)
+    if hot:
+        assert lattice.score(empty, queries.PIECE_MODEL).count() == 0
+
+
+def test_lattice_scores_do_not_depend_on_the_split_of_words(spark, odd):
+    runs = [lattice.score(odd, queries.PIECE_MODEL, hot_words=n).collect() for n in (0, 1000)]
+    assert [sorted(round(r.score, 6) for r in run) for run in runs][0] == sorted(round(r.score, 6) for r in runs[1])
+
+
+def test_gru_gradients():
+    net = language.ByteGru(3, 4)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    steps = np.random.default_rng(0).integers(0, 256, (5, 7)).astype(np.uint8).T
+    real, labels = np.ones(steps.shape, bool), np.array([0, 1, 2, 1, 0])
+    real[5:, 1] = False
+    grads, _ = net.gradients(steps, real, labels)
+    for name, grad in grads.items():
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        losses = []
+        for move in (1e-3, -2e-3):
+            net.p[name][at] += move
+            losses.append(net.gradients(steps, real, labels)[1])
+        net.p[name][at] += 1e-3
+        assert grad[at] == pytest.approx((losses[0] - losses[1]) / 2e-3, rel=0.02, abs=1e-5)
+
+
+def test_windows_cover_every_byte_once():
+    net = language.ByteGru(2)
+    texts = [b"x" * n for n in (1, language.SPAN - 1, language.SPAN, language.SPAN + 1, 5 * language.SPAN + 7)]
+    assert net.shares(texts).sum(axis=1) == pytest.approx(np.ones(len(texts)))
+    together, alone = net.shares(texts), [net.shares([t])[0] for t in texts]
+    assert together == pytest.approx(np.array(alone), abs=1e-5)
+
+
+def test_language_of_documents(spark, odd, empty, tables):
+    english, spanish = re.split(r"(?<=[.,]) ", PROSE), re.split(r"(?<=[.,]) ", SPANISH)
+    rng = random.Random(5)
+    rows = [
+        (1000 + i, " ".join(rng.sample(parts, min(3, len(parts)))), lang, "s")
+        for i, (parts, lang) in enumerate([(english, "en"), (spanish, "es")] * 60)
+    ]
+    docs = odd.select("doc_id", "text", "lang", "source")
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    got = queries.QUERIES["op4_language"](spark, tables(documents=docs)).collect()
+    assert len(got) == docs.count()
+    by_id = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert all(r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0) for r in got)
+    assert all(0 <= r.score <= 1 and r.lang_pred in ("en", "es", "und") for r in got)
+    assert {i for i, r in by_id.items() if r.lang_pred == "und"} == {4, 5, 6}
+    held = [(by_id[i].lang_pred, lang) for i, _, lang, _ in rows if by_id[i].held_out]
+    assert len(held) > 10 and sum(a == b for a, b in held) >= 0.9 * len(held)
+    none = language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
+    assert language.identify(empty).count() == 0
