@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}  # by application, for single-process masters
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.
 
@@ -22,9 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="llm-stage-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="llm-stage-")
+    return _LOCAL[application]
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
