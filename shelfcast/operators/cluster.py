@@ -87,7 +87,7 @@ def silhouette(labelled: DataFrame, label_columns: Sequence[str]) -> dict[str, f
         F.col("members").alias("rows"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
-    pairs = left.join(packed, "block").repartition("own_block", "block")
+    pairs = left.join(packed, "block")
     width = 1 + max(labelled.agg(*[F.max(c).alias(c) for c in labels]).first())
     schema = "store_id bigint, labels array<int>, sums array<double>, sizes array<bigint>"
 
@@ -150,7 +150,24 @@ def squared_silhouette(labelled: DataFrame, label: str) -> float:
     return ClusteringEvaluator(predictionCol=label, distanceMeasure="squaredEuclidean").evaluate(labelled)
 
 
-def optimal_k(vectors: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42) -> tuple[int, dict, dict]:
+METRICS = ("euclidean", "squared")
+
+
+def silhouettes(labelled: DataFrame, label_columns: Sequence[str], metric: str) -> dict[str, float]:
+    """Mean silhouette of each labelling. The metric is the caller's choice, never one of size.
+
+    ``euclidean`` compares all pairs of stores; ``squared`` (squared distances) has linear cost.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    if metric == "euclidean":
+        return silhouette(labelled, label_columns)
+    return {c: squared_silhouette(labelled, c) for c in label_columns}
+
+
+def optimal_k(
+    vectors: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, metric: str = "euclidean"
+) -> tuple[int, dict, dict]:
     """K with the best silhouette (the smallest on ties), with cost and silhouette per K.
 
     Fits run concurrently, as the tuning classes of Spark ML do; all labellings share one silhouette job.
@@ -178,7 +195,7 @@ def optimal_k(vectors: DataFrame, ks: Sequence[int] = range(2, 11), seed: int =
     labelled = vectors
     for k in tried:
         labelled = models[k].setPredictionCol(f"k{k}").transform(labelled)
-    scores = silhouette(labelled, [f"k{k}" for k in tried])
+    scores = silhouettes(labelled, [f"k{k}" for k in tried], metric)
     inertia = {k: float(models[k].summary.trainingCost) for k in tried}
     by_k = {k: scores[f"k{k}"] for k in tried}
     vectors.unpersist()
@@ -201,8 +218,9 @@ def pca_projection(vectors: DataFrame, columns: Sequence[str] = PROFILE_FEATURES
 
 
 def segment_stores(
-    profiles: DataFrame, columns: Sequence[str] = PROFILE_FEATURES, k: int | None = None, seed: int = 42
-) -> tuple[DataFrame, dict]:
+    profiles: DataFrame, columns: Sequence[str] = PROFILE_FEATURES, k: int | None = None, seed: int = 42,
+    metric: str = "euclidean",
+) -> tuple[DataFrame, dict]:
     """Profiles with ``cluster`` and 2-D coordinates, and the facts of the fit.
 
     Cluster numbers are by falling mean daily sales, so they mean the same in every run.
@@ -216,7 +234,7 @@ def segment_stores(
     vectors = with_vector(scale_profiles(profiles, columns), columns).persist()
     inertia, scores = {}, {}
     if k is None:
-        k, inertia, scores = optimal_k(vectors, seed=seed)
+        k, inertia, scores = optimal_k(vectors, seed=seed, metric=metric)
     k = min(k, n)
     if k >= 2:
         labelled = best_kmeans(vectors, k, seed).setPredictionCol("raw").transform(vectors)
@@ -235,6 +253,7 @@ def segment_stores(
         "pca_explained_variance_ratio": explained,
         "inertias": inertia,
         "silhouette_scores": scores,
+        "silhouette_metric": metric,
     }
     return result, facts
 
@@ -244,7 +263,8 @@ def cluster_profile(segmented: DataFrame, columns: Sequence[str] = PROFILE_FEATU
     means = segmented.groupBy("cluster").agg(
         F.count("*").alias("stores"), *[F.round(F.avg(c), 2).alias(c) for c in columns]
     )
-    overall = {c: segmented.agg(F.avg(c).alias("m")).scalar() for c in ("avg_daily_sales", "sales_cv", "promo_lift_pct")}
+    levels = [F.avg(c).alias(c) for c in ("avg_daily_sales", "sales_cv", "promo_lift_pct")]
+    overall = segmented.agg(F.struct(*levels).alias("m")).scalar()
     name = (
         F.when(F.col("avg_daily_sales") >= overall["avg_daily_sales"] * 1.25, "High-volume leaders")
         .when(F.col("promo_lift_pct") >= overall["promo_lift_pct"] * 1.25, "Promotion-driven stores")

@@ -211,14 +211,16 @@ def silhouette(spark, d):
 @query
 def optimal_k(spark, d):
     vectors = cluster.with_vector(cluster.scale_profiles(stage(_profiles(spark, d), "profiles")))
-    best, inertia, scores = cluster.optimal_k(vectors)
-    rows = [(k, inertia[k], scores[k], k == best) for k in scores]
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, is_best boolean")
+    rows = []
+    for metric in cluster.METRICS:
+        best, inertia, scores = cluster.optimal_k(vectors, metric=metric)
+        rows += [(metric, k, inertia[k], scores[k], k == best) for k in scores]
+    return spark.createDataFrame(rows, "metric string, k int, inertia double, silhouette double, is_best boolean")
 
 
 @query
 def store_clusters(spark, d):
-    return cluster.segment_stores(stage(_profiles(spark, d), "profiles"), k=4)[0]
+    return cluster.segment_stores(stage(_profiles(spark, d), "profiles"))[0]
 
 
 @query

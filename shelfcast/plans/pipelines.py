@@ -74,10 +74,12 @@ def run_tests(train: DataFrame, out: str) -> DataFrame:
     return report
 
 
-def run_segmentation(train: DataFrame, out_dir: str, k: int | None = None) -> tuple[DataFrame, dict]:
-    """Segment the stores; CSV of assignments and JSON of the facts."""
+def run_segmentation(
+    train: DataFrame, out_dir: str, k: int | None = None, metric: str = "euclidean"
+) -> tuple[DataFrame, dict]:
+    """Segment the stores; CSV of assignments and JSON of the facts. ``metric``: of the silhouette."""
     profiles = stage(store_profiles(train), "profiles")
-    segmented, facts = cluster.segment_stores(profiles, k=k)
+    segmented, facts = cluster.segment_stores(profiles, k=k, metric=metric)
     per_cluster = cluster.cluster_profile(segmented).orderBy("cluster").collect()  # k rows
     facts["cluster_sizes"] = {str(r["cluster"]): r["stores"] for r in per_cluster}
     facts["cluster_profile_means"] = {

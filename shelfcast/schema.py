@@ -73,7 +73,8 @@ SOURCE_HEADERS = {
 # Optional in a sales file: everything else must be there.
 OPTIONAL_SALES = {"customers"}
 
-# Columns that must never reach a forecast model, plus the target.
+# The target and the columns that must never reach a forecast model, the lags and windows
+# of the panel, the features of store profiles and of return transactions.
 TARGET = "sales"
 NOT_FEATURES = ("sales", "customers", "open_flag", "is_zero_sales_anomaly", "date", "promo_interval")
 

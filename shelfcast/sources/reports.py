@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException, PySparkException, SparkRuntimeException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.sources.tables import exists
@@ -27,7 +28,9 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
     reader = spark.read.option("mode", "FAILFAST").option("multiLine", not path_is_lines(spark, path))
     try:
         table = reader.json(path)  # reading the schema parses every record
-    except (AnalysisException, SparkRuntimeException, PySparkException):
+    except (PySparkException, Py4JJavaError) as error:
+        if "MALFORMED" not in str(error).upper() and not isinstance(error, AnalysisException):
+            raise
         return None
     return table if table.columns else None
 
