@@ -1,17 +1,18 @@
 """Benchmark passages in documents by spaced seeds, in DataFrame functions only.
 
-Tokens are lower-cased runs of letters and digits. A spaced seed hashes some positions of a window and
+Tokens are lower-cased runs of letters and digits; in scripts that put no blanks between words each character is
+a token. A spaced seed hashes some positions of a window and
 ignores the others, so that a substituted token breaks only the windows that look at it. Document and
 benchmark windows meet on their hashes; each hit names a document, an item and an alignment. There all
 tokens are compared: a passage counts as found if ``WINDOW`` aligned tokens in a row (all of a shorter
-item) agree in at least ``AGREEMENT`` percent of the positions.
+item) agree in at least ``AGREEMENT`` percent of the positions. Items of fewer than ``MIN_TOKENS`` tokens are too
+short for the seeds: they are hashed whole and count as found where a document holds all their tokens in a row.
 
 The benchmark's hashes are broadcast only if there are at most ``BROADCAST_HASHES`` (24 bytes each);
 a larger set is joined by shuffle. Hits are reduced to distinct alignments before anything is moved, so
 a passage that very many documents share costs one row for each.
 
-Defined results: null and empty texts have no tokens and no hits; items of fewer than ``MIN_TOKENS``
-tokens are too short to prove anything and are not searched; items with equal tokens are one item, under
+Defined results: null and empty texts have no tokens and no hits; items with equal tokens are one item, under
 the smallest ``item_id``; repeated rows of documents are all found; an empty table on either side gives an
 empty result; extra columns play no part.
 """
@@ -29,16 +30,25 @@ WINDOW = 25
 AGREEMENT = 80
 BROADCAST_HASHES = 1_000_000
 SPAN = max(map(len, MASKS))
+# Thai, Lao, Myanmar, Khmer, Tai, kana, Bopomofo, Han, Yi: scripts without blanks between words.
+UNSPACED = (
+    r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u1950-\u19DF\u1A20-\u1AAF\u3005-\u3007\u3040-\u312F\u31A0-\u31BF"
+    r"\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uA000-\uA4CF\uA9E0-\uA9FF\uAA60-\uAA7F\uF900-\uFAFF\uFF66-\uFF9F"
+    r"\x{20000}-\x{3FFFF}]"
+)
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits as 64-bit hashes."""
-    runs = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    """Lower-cased runs of letters and digits, and single characters of ``UNSPACED``, as 64-bit hashes."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    # the test for any later character is one comparison each, and spares most texts the replacement
+    spaced = F.when(low.rlike(r"[\u0E00-\x{10FFFF}]"), F.regexp_replace(low, f"({UNSPACED})", " $1 ")).otherwise(low)
+    runs = F.array_remove(F.split(spaced, r"[^\p{L}\p{N}]+"), "")
     return F.transform(runs, lambda w: F.xxhash64(w))
 
 
-def _windows(frame: DataFrame, array: str, names: list[str]) -> DataFrame:
-    """A row for each window and seed: ``names``, ``at`` and ``seed_hash``.
+def _windows(frame: DataFrame, array: str, names: list[str], lengths: list[int] = ()) -> DataFrame:
+    """A row for each window and seed: ``names``, ``at`` and ``seed_hash``; runs of ``lengths`` are hashed whole.
 
     The shifted copies of the token array are zipped and laid out as columns, so that the seeds are
     hashed by generated code. Windows at the end that a shorter mask still fits have nulls behind.
@@ -52,13 +62,16 @@ def _windows(frame: DataFrame, array: str, names: list[str]) -> DataFrame:
         parts = [F.col("w").getField(str(k)) for k, bit in enumerate(mask) if bit == "1"]
         whole = F.col("w").getField(str(len(mask) - 1)).isNotNull()
         hashes.append(F.when(whole, F.xxhash64(F.lit(number), *parts)))
+    for length in lengths:
+        parts = [F.col("w").getField(str(k)) for k in range(length)]
+        hashes.append(F.when(parts[-1].isNotNull(), F.xxhash64(F.lit(-length), *parts)))
     out = laid.select(*names, "at", F.explode(F.array(*hashes)).alias("seed_hash"))
     return out.where("seed_hash is not null")
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     listed = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(text)).alias("item"))
-    return listed.where(F.size("item") >= MIN_TOKENS).groupBy("item").agg(F.min("item_id").alias("item_id"))
+    return listed.where(F.size("item") > 0).groupBy("item").agg(F.min("item_id").alias("item_id"))
 
 
 def find(
@@ -73,23 +86,34 @@ def find(
 ) -> DataFrame:
     """(``doc_id``, ``text_hash``, ``item_id``, ``compared``, ``agreeing``) of each passage found."""
     items = _items(benchmark, item_id, item_text)
-    seeds = _windows(items, "item", ["item_id"]).select("seed_hash", "item_id", F.col("at").alias("item_at"))
+    is_short = F.size("item") < MIN_TOKENS
+    lengths = sorted(r[0] for r in items.where(is_short).select(F.size("item")).distinct().collect())
+    seeds = _windows(items.where(~is_short), "item", ["item_id"])
+    seeds = seeds.select("seed_hash", "item_id", F.col("at").alias("item_at"), F.lit(False).alias("short"))
+    for length in lengths:
+        whole = F.xxhash64(F.lit(-length), *[F.col("item")[k] for k in range(length)])
+        of_length = items.where(F.size("item") == length)
+        seeds = seeds.unionByName(
+            of_length.select(whole.alias("seed_hash"), "item_id", F.lit(0).alias("item_at"), F.lit(True).alias("short"))
+        )
     if seeds.count() <= BROADCAST_HASHES:
         seeds = F.broadcast(seeds)
     value = F.col(text)
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(value).alias("text_hash"), value.alias("text"))
     listed = keyed.select("doc_id", "text_hash", tokens(F.col("text")).alias("doc"))
+    diagonal = F.col("at") - F.col("item_at")
+    # every alignment of a longer item, the first of a short one however often a document holds it
     hits = (
-        _windows(listed, "doc", ["doc_id", "text_hash"])
+        _windows(listed, "doc", ["doc_id", "text_hash"], lengths)
         .join(seeds, "seed_hash")
-        .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
-        .distinct()
+        .groupBy("doc_id", "text_hash", "item_id", F.when(~F.col("short"), diagonal).alias("own"))
+        .agg(F.min(diagonal).alias("diagonal"))
     )
     hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "item_id", "diagonal")
     same = (F.col("text_hash") == F.col("hit_hash")) & F.col("doc_id").eqNullSafe(F.col("hit_id"))
     aligned = keyed.join(hits, same).join(items, "item_id")
     # arrays are bound by lambdas over one-element arrays: they are made once for each alignment
-    compared = f"least(size(item), {window})"
+    compared = f"IF(size(item) < {MIN_TOKENS}, size(item), least(size(item), {window}))"
     agree = "transform(item, (t, k) -> IF(k + diagonal >= 0 AND get(doc, k + diagonal) <=> t, 1, 0))"
     most = (
         f"array_max(transform(sequence(0, size(item) - {compared}), "
@@ -101,11 +125,12 @@ def find(
             "doc_id",
             "text_hash",
             "item_id",
+            F.expr(f"IF(size(item) < {MIN_TOKENS}, 100, {agreement})").alias("least"),
             F.expr(compared).alias("compared"),
             F.expr(f"transform(docs, doc -> transform(array({agree}), agree -> {most})[0])[0]").alias("agreeing"),
         )
     )
-    found = scored.where(F.col("agreeing") * 100 >= F.col("compared") * agreement)
+    found = scored.where(F.col("agreeing") * 100 >= F.col("compared") * F.col("least"))
     return found.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("compared").alias("compared"), F.max("agreeing").alias("agreeing")
     )

@@ -155,6 +155,29 @@ def test_benchmark_passages(spark, odd, empty, tables):
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 4), (2, 4), (None, 4)}
 
 
+def test_benchmark_short_items_and_scripts_without_blanks(spark, tables):
+    chinese = "春天的早晨老渔夫把船推进河里，远处的山还盖着薄雾。他想起年轻时的朋友，那时桥还没有修好，过河只能等潮水退去"
+    changed = chinese.replace("老渔夫", "小渔夫").replace("薄雾", "白雾").replace("潮水", "河水")
+    items = [(1, chinese), (2, "Blue whales sing"), (3, "Whales"), (4, "今日は雨"), (5, "one two three four five six seven")]
+    rows = [
+        (1, PROSE + chinese + PROSE),
+        (2, "前文很长" + changed + "后文"),
+        (3, "so blue, whales: sing. blue whales sing"),
+        (4, "blue humpback whales do not sing"),
+        (5, "昨日、今日は雨でした"),
+        (6, "今日はよい雨"),
+        (7, "one two three four five six eleven"),
+        (8, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (6, ""), (7, None)], "item_id long, text string")
+    got = queries.QUERIES["op10_decontaminate"](spark, tables(documents=docs, benchmark=bench)).collect()
+    expected = {(1, 1), (2, 1), (3, 2), (3, 3), (4, 3), (5, 4)}
+    assert {(r.doc_id, r.item_id) for r in got} == expected and len(got) == len(expected)
+    assert all(r.compared == r.agreeing for r in got if r.item_id > 1)
+    assert sorted(r.doc_id for r in decontaminate.remove(docs, bench).collect()) == [6, 7, 8]
+
+
 def test_benchmark_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", 0)
     docs = spark.createDataFrame([(1, PROSE), (2, "nothing of it is here at all in this one text")], "doc_id long, text string")
