@@ -1,12 +1,13 @@
 """Secrets in texts by assignment-aware lexing.
 
 Three base patterns (assignments to sensitive names, access key ids, long hexadecimal runs) are joined
-by a lexer for source and configuration syntax. At every ``=``, ``:``, ``:=`` or ``=>`` it reads the name
-on the left (quoted keys, dotted and subscripted names, annotated declarations) and the expression on
-the right: quoted literals, bare values, names, and sums of those. A name on the right stands for the
+by a lexer for source and configuration syntax. At every ``=``, ``:``, ``:=``, ``=>``, ``?=`` or
+``+=`` it reads the name on the left (quoted keys, dotted and subscripted names, annotated declarations) and the
+expression on the right: quoted literals (also in backticks and over several lines), bare values, names, sums of
+those, and lists, parentheses and calls of them, up to ``DEPTH`` deep. A name on the right stands for the
 literals last assigned to it, so a constant is followed to the names that it flows into. A literal is
 scored by the most sensitive of its target names and by its own form (length, mixture of characters,
-no placeholder); literals that reach ``THRESHOLD`` are spans of kind ``literal``, unless a base span
+no placeholder); under a clear password name a short literal or one with blanks is enough. Literals that reach ``THRESHOLD`` are spans of kind ``literal``, unless a base span
 holds them already.
 
 Defined results: null and empty texts have no spans; offsets are code points, ends exclusive; equal rows
@@ -39,6 +40,8 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 
 THRESHOLD = 0.5
 MIN_LITERAL = 8
+MIN_PASSWORD = 6
+DEPTH = 4
 # Parts of names and how far they mark a value as secret; two or more add up, one at most counts.
 SENSITIVE = {
     "password": 1.0,
@@ -63,25 +66,64 @@ SENSITIVE = {
     "salt": 0.5,
     "webhook": 0.4,
 }
+# Sensitive words inside a part that neither case nor punctuation divides.
+INSIDE = re.compile(
+    r"password|passwd|pwd|passphrase|secret(?!ar)|token(?!i[sz])|apikey|credentials?"
+    r"|(?:access|private|signing|encryption|client|auth)(?:key|salt)"
+)
+PAIR = re.compile(r"(.+)(key|salt)")
+PASSWORD = re.compile(r"(?i)(?:password|passwd|pwd|passphrase)[_\d]*$")
 PLACEHOLDER = re.compile(
     r"(?i)example|change.?me|your[_-]|placeholder|dummy|redacted|^(?:true|false|none|null|undefined)$|^(.)\1*$|\$\{|<[^>]*>"
 )
-OPERATOR = re.compile(r":=|=>|[=:]")
+OPERATOR = re.compile(r":=|=>|[?+]=|[=:]")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 LEFT = re.compile(r"""[A-Za-z0-9_.$\-"'\[\] \t]""")
 NAME = re.compile(r"""(?:^|[^A-Za-z0-9_.$\-])\$?([A-Za-z_][A-Za-z0-9_.$\-]*)(?:\[?["']([A-Za-z0-9_.\-]+)["']\]?)?["']?[ \t]*$""")
 QUOTED_KEY = re.compile(r"""(["'])([A-Za-z0-9_.\-]+)\1[ \t]*\]?[ \t]*$""")
 VALUE = re.compile(
-    r"""[ \t]*(?:[rbuf]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')|([A-Za-z0-9+/_.=\-]+))""", re.IGNORECASE
+    r'''[ \t]*(?:[rbuf]{0,2}(?:"""((?:[^"\\]++|\\.|"(?!""))*+)"""|\'{3}((?:[^'\\]++|\\.|'(?!''))*+)\'{3}'''
+    r"""|"(?!"")((?:[^"\\\n]|\\.)*)"|'(?!'')((?:[^'\\\n]|\\.)*)')|`((?:[^`\\]++|\\.)*+)`|([A-Za-z0-9+/_.=\-]+))""",
+    re.IGNORECASE | re.DOTALL,
 )
+TRIPLE, QUOTED, BARE = (1, 2, 5), (1, 2, 3, 4, 5), 6
+OPENER = re.compile(r"\s*(?:new[ \t]+)?(?:([A-Za-z_][A-Za-z0-9_.]*)?\(|\[)")
+LOOKUP = re.compile(r"(?i)(?:getenv|get|env|getproperty|environ|config|input|prompt|open)$")
+ARGUMENT = re.compile(r"\s*[A-Za-z_][A-Za-z0-9_]*[ \t]*=(?!=)")
+WITHIN = re.compile(r"\s*")
+CLOSER = re.compile(r"\s*[\])]")
 PLUS = re.compile(r"[ \t]*\+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*$")
 
 
 def name_score(name: str) -> float:
-    parts = [p.lower() for p in PARTS.findall(name)]
-    joined = {a + b for a, b in zip(parts, parts[1:], strict=False)}
-    return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
+    listed = [p.lower() for p in PARTS.findall(name)]
+    parts, joined = {*listed}, {a + b for a, b in zip(listed, listed[1:], strict=False)}
+    return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in parts | joined) + sum(map(_inside_score, parts - {*SENSITIVE})))
+
+
+def _inside_score(part: str) -> float:
+    """The sensitive words inside an unknown part."""
+    score = 0.0
+    for word in set(INSIDE.findall(part)):
+        pair = None if word in SENSITIVE else PAIR.fullmatch(word)
+        score += SENSITIVE[pair[1]] + SENSITIVE[pair[2]] if pair else SENSITIVE[word]
+    return score
+
+
+def password_score(value: str, quoted: bool) -> float:
+    """1 for what can be a password under a name that says so, else 0.
+
+    Bare values must mix letters and digits, and values with blanks hold a digit or a sign, since prose seldom does.
+    """
+    if len(value) < MIN_PASSWORD or len(set(value)) < 3 or PLACEHOLDER.search(value):
+        return 0.0
+    if IDENTIFIER.match(value) and name_score(value) > 0:
+        return 0.0
+    digit, sign = any(c.isdigit() for c in value), any(not (c.isalnum() or c.isspace()) for c in value)
+    if not quoted:
+        return float(digit and any(c.isalpha() for c in value) and not any(c.isspace() for c in value))
+    return float(digit or sign or not any(c.isspace() for c in value))
 
 
 def literal_score(value: str) -> float:
@@ -113,6 +155,65 @@ def _target(text: str, at: int) -> str | None:
     return name[2] or name[1]
 
 
+Literals = list[tuple[int, int, str, bool]]
+
+
+def _literals(value: re.Match, group: int) -> Literals:
+    """(start, end, value, quoted) of a value; of a string over several lines each line without its blanks."""
+    whole, start = value[group], value.start(group)
+    if group not in TRIPLE or "\n" not in whole:
+        return [(start, value.end(group), whole, group != BARE)]
+    out = []
+    for line in whole.split("\n"):
+        if inner := line.strip():
+            first = start + line.index(inner)
+            out.append((first, first + len(inner), inner, False))
+        start += len(line) + 1
+    return out
+
+
+def _expression(text: str, at: int, known: dict[str, int]) -> tuple[Literals, list[int]]:
+    """The literals of the expression at ``at`` and the nodes of its names.
+
+    The depth is bounded, so that no part of a text is read for more than ``DEPTH`` expressions around it. What is
+    given to a look-up is the name of a setting and no literal.
+    """
+    own: Literals = []
+    parts: list[int] = []
+    depth = 0
+    while True:
+        while (opener := OPENER.match(text, at)) and (depth or "\n" not in opener[0]):
+            if depth == DEPTH or (opener[1] and LOOKUP.search(opener[1])):
+                return own, parts
+            at, depth = opener.end(), depth + 1
+        if depth:
+            if argument := ARGUMENT.match(text, at):
+                at = argument.end()
+                if OPENER.match(text, at):
+                    continue
+            at = WITHIN.match(text, at).end()
+        value, closed = VALUE.match(text, at), False
+        group = value and next(g for g in (*QUOTED, BARE) if value[g] is not None)
+        if value:
+            if group == BARE and IDENTIFIER.match(value[group]) and value[group] in known:
+                parts.append(known[value[group]])
+            elif value[group] and (group != BARE or not depth):
+                own += _literals(value, group)
+            at = value.end()
+        while depth and (closer := CLOSER.match(text, at)):
+            at, depth, closed = closer.end(), depth - 1, True
+        if not value and not closed:
+            return own, parts
+        if plus := PLUS.match(text, at):
+            at = plus.end()
+            continue
+        after = WITHIN.match(text, at).end() if depth else at
+        if depth and text[after : after + 1] == ",":
+            at = after + 1
+        elif not (depth and group in QUOTED and text[after : after + 1] in ('"', "'", "`")):
+            return own, parts
+
+
 def scored_literals(text: str) -> Iterator[tuple[int, int, float]]:
     """(start, end, score) of the literals that are assigned, constants followed to all their targets.
 
@@ -120,36 +221,35 @@ def scored_literals(text: str) -> Iterator[tuple[int, int, float]]:
     that name stood for. Read backwards, the sensitivity of targets flows to what they were made of, so
     the work is linear in the text however constants are chained.
     """
-    literals: list[list[tuple[int, int, str]]] = []
+    literals: list[Literals] = []
     sources: list[list[int]] = []
     flow: list[float] = []
+    clear: list[bool] = []
     known: dict[str, int] = {}
     for operator in OPERATOR.finditer(text):
         at, end = operator.span()
-        value = VALUE.match(text, end)
-        name = _target(text, at) if value else None
+        readable = VALUE.match(text, end) or OPENER.match(text, end)
+        name = _target(text, at) if readable else None
         if not name:
             continue
-        own, parts = [], []
-        while value:
-            group = next(g for g in (1, 2, 3) if value[g] is not None)
-            bare = value[group]
-            if group == 3 and IDENTIFIER.match(bare) and bare in known:
-                parts.append(known[bare])
-            elif bare:
-                own.append((*value.span(group), bare))
-            plus = PLUS.match(text, value.end())
-            value = VALUE.match(text, plus.end()) if plus else None
+        own, parts = _expression(text, end, known)
+        if operator[0] == "+=" and name in known:
+            parts.append(known[name])
         known[name] = len(flow)
         literals.append(own)
         sources.append(parts)
         flow.append(name_score(name))
+        clear.append(bool(PASSWORD.search(name)))
     for node in range(len(flow) - 1, -1, -1):
         for source in sources[node]:
             flow[source] = max(flow[source], flow[node])
+            clear[source] |= clear[node]
         if flow[node]:
-            for start, end, value in literals[node]:
-                yield start, end, flow[node] * literal_score(value)
+            for start, end, value, quoted in literals[node]:
+                score = flow[node] * literal_score(value)
+                if clear[node] and score < THRESHOLD:
+                    score = max(score, THRESHOLD * password_score(value, quoted))
+                yield start, end, score
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:

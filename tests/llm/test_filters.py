@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -234,6 +235,53 @@ def test_secret_lexing(text, secrets):
     assert found == secrets
 
 
+V = "q8w7e6r5t4y3u2i1"
+
+
+@pytest.mark.parametrize(
+    "text, secrets",
+    [
+        *[(f'{name} = "{V}"', [V]) for name in ("dbpwd", "privatekey", "awsaccesskey", "dbpwd2", "signingkey")],
+        *[(f'{name} = ["{V}"]', [V]) for name in ("dbpassword", "accesstoken", "userpassphrase")],
+        (f'token = ("{V}")', [V]),
+        (f'token = [\n  "short",\n  "{V}",\n]', [V]),
+        (f"token = `{V}`", [V]),
+        (f'token = """\n  {V}\n"""', [V]),
+        (f"token = '''{V}'''", [V]),
+        (f'token = Secret("{V}")', [V]),
+        (f'token = conf.Secret(value="{V}", name="x")', [V]),
+        (f'token = Secret(wrap(["{V}"]))', [V]),
+        (f'x = Secret("{V}")\ntoken = [x]', [V]),
+        (f'client_pwd ?= "{V}"', [V]),
+        (f'client_pwd += "{V}"', [V]),
+        (f'x = "{V}"\nx += "a"\ntoken = [x]', [V]),
+        ('password = "abcdefga"', ["abcdefga"]),
+        ('dbpassword = "hunt3r"', ["hunt3r"]),
+        ('password = "my dog is 7!"', ["my dog is 7!"]),
+        ('password = "Enter it here"', []),
+        ('user_password = "password"', []),
+        ("password: remember this", []),
+        ('password_label = "Kennwort"', []),
+        (f'token = os.getenv("{V}")', []),
+        (f'secretary = ["{V}"]', []),
+        (f'tokenizer = ["{V}"]', []),
+        (f'color = Secret("{V}")', []),
+    ],
+)
+def test_secret_forms(text, secrets):
+    assert [text[a:b] for a, kind, b, _, _ in secret_scan.scan(text) if kind == 3] == secrets
+
+
+@pytest.mark.parametrize("unit", ["k=(", 'p=["a",', "token=f(a=", '"k=[", ', "x=`", "a='''b", 'a="""', "p=[\n\n"])
+def test_secret_forms_stay_linear(unit):
+    times = []
+    for n in (2000, 8000):
+        start = time.process_time()
+        secret_scan.scan(unit * n)
+        times.append(time.process_time() - start)
+    assert times[1] < 10 * times[0] + 0.2
+
+
 def test_secret_chains_stay_linear():
     text = "a0 = 'x1y2z3x1y2z3'\n" + "".join(f"a{i} = a{i - 1} + a{i - 1}\n" for i in range(1, 400)) + "token = a399\n"
     assert [s[1] for s in secret_scan.scan(text)] == [3]
