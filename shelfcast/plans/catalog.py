@@ -225,7 +225,7 @@ def store_clusters(spark, d):
 
 @query
 def cluster_profile(spark, d):
-    return cluster.cluster_profile(cluster.segment_stores(stage(_profiles(spark, d), "profiles"), k=4)[0])
+    return cluster.cluster_profile(cluster.segment_stores(stage(_profiles(spark, d), "profiles"))[0])
 
 
 @query
