@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import small_batches
+from .staging import slices
 
 UNDETERMINED = "und"
 HIDDEN = 8
@@ -230,12 +230,11 @@ def train(samples: list[tuple[str, bytes]]) -> tuple[list[str], ByteGru | None]:
 
 def predicted(docs: DataFrame, languages: list[str], network: ByteGru | None, text: str = "text") -> DataFrame:
     """``docs`` without the text, and ``lang_pred`` and ``score``."""
-    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = [UNDETERMINED] * len(batch), [0.0] * len(batch)
             texts = batch.column(text)
             rows = [i for i in range(len(batch)) if network and LETTER.search(texts[i].as_py() or "")]

@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import small_batches, staged
+from .staging import slices, staged
 
 MARK = "▁"
 DISCOUNT = 0.75
@@ -157,7 +157,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             learned.clear()
             other.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             train = batch.column("train").to_pylist()
             for text, is_train in zip(_texts(batch.column("text")), train, strict=True):
                 words = text.lower().split()
@@ -190,7 +190,7 @@ def reestimated(words: DataFrame, vocab: tuple, iterations: int = ITERATIONS) ->
 
         def run(batches: Iterator[pa.RecordBatch], scores: list[float] = scores) -> Iterator[pa.RecordBatch]:
             lattice, counts = Lattice(pieces, scores, bytes_at), np.zeros(len(pieces))
-            for batch in batches:
+            for batch in slices(batches):
                 for word in batch.column(0).to_pylist():
                     lattice.expect(word, counts)
             used = np.flatnonzero(counts)
@@ -216,7 +216,7 @@ def word_scores(words: DataFrame, vocab: tuple, scores: list[float], total: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces, scores, bytes_at)
-        for batch in batches:
+        for batch in slices(batches):
             base, model = [], []
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by_pieces = free + lattice.log_probability(word)
@@ -252,7 +252,6 @@ def _hot_words(scored: DataFrame, most: int) -> dict[bytes, tuple[bool, float, f
 def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
     """(``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``) of each row."""
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("train", fold(F.col("doc_id")) != 1)
     words = staged(word_counts(rows), "words")
@@ -274,7 +273,7 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row of each document's frequent words and end, with its rare words as arrays."""
         known_words = hot.value
-        for batch in batches:
+        for batch in slices(batches):
             made: list[list] = [[] for _ in range(6)]
             for value in _texts(batch.column("text")):
                 tokens = value.lower().split()

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import small_batches
+from .staging import slices
 
 WIDTH = 2048
 END_ID = 50256
@@ -98,12 +98,11 @@ def tokenized(
     end_id: int = END_ID,
 ) -> DataFrame:
     """Pieces of at most ``width`` ids (``doc_id``, ``segment``, ``n_segments``, ``n_tokens``, ``ids``)."""
-    small_batches(docs.sparkSession)
     names = ["doc_id", "segment", "n_segments", "n_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = None
-        for batch in batches:
+        for batch in slices(batches):
             encoding = encoding or load_encoding(path, pattern)
             kind = np.dtype("<u2") if max(encoding.n_vocab, end_id + 1) <= 1 << 16 else np.dtype("<u4")
             rows: list[tuple] = []

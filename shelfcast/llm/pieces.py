@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .staging import small_batches
+from .staging import slices
 
 MARK = "▁"
 KEPT_CHUNKS = 500_000
@@ -216,14 +216,13 @@ def encoded(
     docs: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens", decoded: str = "decoded"
 ) -> DataFrame:
     """``docs`` without the text; its ids (little-endian 32-bit), their number and the decoded text."""
-    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, ids, count, decoded)]
     made = [StructField(count, LongType()), StructField(ids, BinaryType()), StructField(decoded, StringType())]
     schema = StructType([docs.schema[c] for c in kept] + made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None
-        for batch in batches:
+        for batch in slices(batches):
             model = model or PieceModel(path)
             start, size, out = 0, 0, []
 

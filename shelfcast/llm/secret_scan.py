@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from .staging import small_batches
+from .staging import slices
 
 # Fixed values of the contract: base patterns and the order of kinds.
 ASSIGN = re.compile(
@@ -315,12 +315,11 @@ _ARROW = pa.list_(
 
 def with_spans(docs: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:
     """``docs`` without the text, and the array of its spans."""
-    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, name)]
     schema = StructType([docs.schema[c] for c in kept] + [StructField(name, SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = [
                 [{"kind": KINDS[kind], "start": a, "end": b, "score": s} for a, kind, b, _, s in scan(t.as_py())]
                 for t in batch.column(text)
@@ -333,11 +332,10 @@ def with_spans(docs: DataFrame, text: str = "text", name: str = "spans") -> Data
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with secrets replaced in the text; ``n_chars``, where present, follows the new text."""
-    small_batches(docs.sparkSession)
     columns, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             place = columns.index(text)
             old = batch.column(place).to_pylist()
             new = [redact(t) for t in old]

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import connected
-from .staging import fresh, small_batches, staged
+from .staging import fresh, slices, staged
 
 SEED = 42
 SHINGLE = 3
@@ -69,12 +69,11 @@ def fingerprint(text: bytes | None) -> int:
 
 def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint", keep_text: bool = True) -> DataFrame:
     """``docs`` and the fingerprint of every text as a (signed) long."""
-    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if keep_text or c != text]
     schema = StructType([docs.schema[c] for c in kept] + [StructField(name, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text).cast(pa.binary()).to_pylist()
             prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
             columns = [batch.column(c) for c in kept] + [pa.array(prints)]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,7 +49,12 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, since one text can be large."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, over the same memory.
+
+    Spark bounds the bytes of a batch that it hands over; this bounds what a function makes of it, without
+    a change to the session's settings.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .staging import small_batches
+from .staging import slices
 
 # Fixed values of the contract: (verdict, host, path).
 RULES = (
@@ -152,7 +152,6 @@ def judged(
     blocked: Sequence[str] = BLOCKED,
 ) -> DataFrame:
     """``pages`` and its ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``."""
-    small_batches(pages.sparkSession)
     made = ("host", "path", "rule", "verdict")
     kept = [c for c in pages.columns if c not in made]
     schema = StructType([pages.schema[c] for c in kept] + [StructField(c, StringType()) for c in made])
@@ -161,7 +160,7 @@ def judged(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = GlobSet([*globs, *blocked])
-        for batch in batches:
+        for batch in slices(batches):
             parts = [host_and_path(u.as_py()) for u in batch.column(url)]
             fits = automaton.match([(h + p).encode() for h, p in parts])
             by_rule = fits[:, : len(globs)].reshape(len(parts), len(ranked), 2).any(axis=2)
