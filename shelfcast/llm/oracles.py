@@ -105,8 +105,34 @@ SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, CASE
 FROM parts p LEFT JOIN best b USING (page_id)
 """
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ts FROM documents),
+items AS (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS ts FROM benchmark),
+asked AS (SELECT iid, item_id, t, count(*) AS q FROM (SELECT iid, item_id, unnest(ts) AS t FROM items) GROUP BY ALL),
+held AS (
+  SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY rid, t
+), sums AS (SELECT count(*) FILTER (len(ts) > 0) AS nn, CAST(sum(len(ts)) AS BIGINT) AS ll FROM docs),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(nn) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, sums GROUP BY t
+), factors AS (SELECT rid, doc_id, 100 - 25 + ((25 * CAST(len(ts) AS BIGINT) * nn) // ll) AS m FROM docs, sums WHERE len(ts) > 0),
+scored AS (
+  SELECT iid, item_id, rid, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t) JOIN factors USING (rid) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) AS INTEGER) AS rank,
+  doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op7_url_filter": URL_FILTER,
     "op10_decontaminate": DECONTAMINATE,
+    "op11_lexical_search": LEXICAL,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lattice, packing, pieces, quality, secret_scan, sharding, simhash, url_filter
+from . import (
+    decontaminate,
+    language,
+    lattice,
+    lexical,
+    main_text,
+    packing,
+    pieces,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    spelling,
+    url_filter,
+)
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -111,6 +125,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -122,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_decontaminate": op10_decontaminate,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_main_text": op13_main_text,
 }
