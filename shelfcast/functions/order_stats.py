@@ -2,21 +2,25 @@
 
 Spark's ``percentile`` and ``median`` keep every distinct value in one buffer, and a rank over an
 unpartitioned window runs in one task. Here a wanted rank is first bracketed (by a mergeable sketch of
-bounded size, or by the column's range), the bracket is verified by exact counts, cut into bins that
-are counted with map-side aggregation, and only the bin that holds the rank is cut again. Each round
-reads the column once and brings at most ``BINS`` counters per wanted rank to the driver.
+bounded size, by counts of coarse cells, or by the column's range), the bracket is verified by exact
+counts, cut into bins that are counted with map-side aggregation, and only the bin that holds the rank
+is cut again. Rounds read the small table of bracketed values where there is one, and bring at most
+``BINS`` counters per wanted rank to the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.session import stage
+
 BINS = 4096
 # Generated code stays small enough to be compiled; each part scans its own columns only.
 _COLUMNS_PER_SCAN = 8
@@ -47,8 +51,12 @@ def _bin(column: Column, integral: bool, low, high) -> Column:
     return F.least(F.floor((column - F.lit(low)) / F.lit(width)), F.lit(BINS)).cast("int")
 
 
-def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tuple]:
-    """(value, number of smaller rows) of every search, narrowing all of them together."""
+def _locate(df: DataFrame, searches: list[_Search], weight: str | None = None) -> dict[tuple[str, int], tuple]:
+    """(value, number of smaller rows) of every search, narrowing all of them together.
+
+    With ``weight`` a row counts as often as that column says.
+    """
+    times = F.col(weight) if weight else F.lit(1)
     integral = {s.column: isinstance(df.schema[s.column].dataType, T.IntegralType) for s in searches}
     while True:
         open_ = [s for s in searches if s.value is None]
@@ -69,6 +77,7 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
                     F.lit(i).alias("range"),
                     _bin(value, integral[c], low, high).alias("bin"),
                     value.cast(common).alias("value"),
+                    times.cast("bigint").alias("times"),
                 )
                 cells.append(F.when(hit, cell))
             parts.append(df.where(inside).select(F.explode(F.array(*cells)).alias("cell")).where("cell is not null"))
@@ -76,7 +85,7 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
             reduce(DataFrame.union, parts)
             .select("cell.*")
             .groupBy("range", "bin")
-            .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .agg(F.sum("times").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
             .collect()
         )
         per_range: dict[int, list] = {}
@@ -90,61 +99,239 @@ def _locate(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], tup
                     s.below, s.low, s.high = seen, row["low"], row["high"]
                     if s.low == s.high or seen == s.rank:
                         s.value = s.low
-                    elif row["n"] == 2:
+                    elif row["n"] == 2 and weight is None:
                         s.value, s.below = s.high, seen + 1
                     break
                 seen += row["n"]
     return {(s.column, s.rank): (s.value, s.below) for s in searches}
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, NULLs left out; None for a column without values."""
+class Spread(NamedTuple):
+    """What two scans tell of a column: values, mean and population variance, exact quantiles; NULL left out."""
+
+    n: int
+    mean: float | None
+    variance: float | None
+    quantiles: list[float | None]
+
+
+def spreads(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, Spread]:
+    """Moments and exact quantiles (linear interpolation) of many numeric columns in two scans of ``df``.
+
+    The first scan has the moments and a sketch that brackets every quantile. The second one counts the
+    rows at and below the brackets' ends, as observed metrics, while it hands on the values strictly
+    between them in long form: a value that holds many rows is an end of its bracket, so these are under
+    1 % of the rows. All further rounds read only that small table.
+    """
     columns = list(wanted)
     margin = 3 / ACCURACY
     brackets = {c: [min(max(p + side, 0.0), 1.0) for p in wanted[c] for side in (-margin, margin)] for c in columns}
-    row = df.agg(
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    row = values.agg(
         *[
             F.struct(
-                F.count(c).alias("n"),
-                F.min(c).alias("low"),
-                F.max(c).alias("high"),
-                F.percentile_approx(c, brackets[c], ACCURACY).alias("near"),
+                F.count(f"v{i}").alias("n"),
+                F.min(f"v{i}").alias("low"),
+                F.max(f"v{i}").alias("high"),
+                F.avg(f"v{i}").alias("mean"),
+                F.var_pop(f"v{i}").alias("variance"),
+                *([F.percentile_approx(f"v{i}", brackets[c], ACCURACY).alias("near")] if brackets[c] else []),
             ).alias(f"s{i}")
             for i, c in enumerate(columns)
         ]
     ).first()
-    spans = {c: row[f"s{i}"] for i, c in enumerate(columns)}
-    filled = [c for c in columns if spans[c]["n"] > 0]
-    if not filled:
-        return {c: [None] * len(wanted[c]) for c in columns}
     near = [
-        (c, p, spans[c]["near"][2 * j], spans[c]["near"][2 * j + 1]) for c in filled for j, p in enumerate(wanted[c])
+        (i, p, row[f"s{i}"]["near"][2 * j], row[f"s{i}"]["near"][2 * j + 1])
+        for i, c in enumerate(columns)
+        if row[f"s{i}"]["n"]
+        for j, p in enumerate(wanted[c])
     ]
-    counts = df.agg(
-        *[F.count_if(F.col(c) < F.lit(low)).alias(f"b{i}") for i, (c, _, low, _) in enumerate(near)],
-        *[F.count_if(F.col(c) <= F.lit(high)).alias(f"t{i}") for i, (c, _, _, high) in enumerate(near)],
-    ).first()
-    searches: dict[tuple[str, int], _Search] = {}
-    for i, (c, p, low, high) in enumerate(near):
-        below, upto = counts[f"b{i}"], counts[f"t{i}"]
-        position = (spans[c]["n"] - 1) * p
-        for rank in {math.floor(position), math.ceil(position)}:
-            if below <= rank < upto:
-                searches[(c, rank)] = _Search(c, rank, low, high, below)
-            else:
-                searches.setdefault((c, rank), _Search(c, rank, spans[c]["low"], spans[c]["high"]))
-    values = _locate(df, list(searches.values()))
-    out: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in columns}
-    for c in filled:
-        for j, p in enumerate(wanted[c]):
-            position = (spans[c]["n"] - 1) * p
+    ranks = _ranks_in_brackets(values, near, {i: row[f"s{i}"] for i in range(len(columns))}) if near else {}
+    out = {}
+    for i, c in enumerate(columns):
+        span, found = row[f"s{i}"], []
+        for p in wanted[c]:
+            position = (span["n"] - 1) * p
             lo, hi = math.floor(position), math.ceil(position)
-            a, b = float(values[(c, lo)][0]), float(values[(c, hi)][0])
-            share = position - lo
-            out[c][j] = a if lo == hi else (1 - share) * a + share * b
+            if not span["n"]:
+                found.append(None)
+            elif lo == hi:
+                found.append(ranks[(i, lo)])
+            else:
+                share = position - lo
+                found.append((1 - share) * ranks[(i, lo)] + share * ranks[(i, hi)])
+        out[c] = Spread(span["n"], span["mean"], span["variance"], found)
     return out
 
 
+def _ranks_in_brackets(values: DataFrame, near: list[tuple], spans: dict) -> dict[tuple[int, int], float]:
+    """(column number, rank) -> value for the ranks around each quantile; see ``spreads``."""
+    counts = Observation()
+    metrics, cells = [], []
+    for k, (i, _, low, high) in enumerate(near):
+        v = F.col(f"v{i}")
+        metrics += [
+            F.count_if(v < F.lit(low)).alias(f"a{k}"),
+            F.count_if(v <= F.lit(low)).alias(f"b{k}"),
+            F.count_if(v < F.lit(high)).alias(f"c{k}"),
+            F.count_if(v <= F.lit(high)).alias(f"d{k}"),
+        ]
+        if low < high:
+            cell = F.struct(F.lit(k).alias("bracket"), v.alias("value"))
+            cells.append(F.when((v > F.lit(low)) & (v < F.lit(high)), cell))
+    watched = values.observe(counts, *metrics)
+    if cells:
+        inside = watched.select(F.explode(F.array(*cells)).alias("cell")).where("cell is not null").select("cell.*")
+        inside = stage(inside, "brackets")
+        inside.count()
+    else:
+        inside = None
+        watched.write.format("noop").mode("overwrite").save()
+    seen = counts.get
+    out: dict[tuple[int, int], float] = {}
+    inner: list[_Search] = []
+    missed: list[tuple[int, _Search]] = []
+    for k, (i, p, low, high) in enumerate(near):
+        position = (spans[i]["n"] - 1) * p
+        for rank in {math.floor(position), math.ceil(position)}:
+            if seen[f"a{k}"] <= rank < seen[f"b{k}"]:
+                out[(i, rank)] = low
+            elif seen[f"c{k}"] <= rank < seen[f"d{k}"]:
+                out[(i, rank)] = high
+            elif seen[f"b{k}"] <= rank < seen[f"c{k}"]:
+                inner.append(_Search((i, k), rank, low, high, seen[f"b{k}"]))
+            else:  # the sketch missed: search the whole column
+                missed.append((i, _Search(f"v{i}", rank, spans[i]["low"], spans[i]["high"])))
+    if inner:
+        _locate_cells(inside, inner)
+        out.update({(s.column[0], s.rank): s.value for s in inner})
+    if missed:
+        found = _locate(values, [s for _, s in missed])
+        out.update({(i, s.rank): found[(s.column, s.rank)][0] for i, s in missed})
+    return out
+
+
+def _locate_cells(cells: DataFrame, searches: list[_Search]) -> None:
+    """Narrow searches (``column`` is (column, bracket)) over values in long form until each has its value."""
+    while True:
+        open_ = [s for s in searches if s.value is None]
+        if not open_:
+            return
+        ranges = sorted({(s.column[1], s.low, s.high) for s in open_})
+        at, bin_ = F.lit(None).cast("int"), F.lit(None).cast("int")
+        value = F.col("value")
+        for r, (bracket, low, high) in enumerate(ranges):
+            hit = (F.col("bracket") == bracket) & value.between(F.lit(low), F.lit(high))
+            at = F.when(hit, r).otherwise(at)
+            bin_ = F.when(hit, _bin(value, False, low, high)).otherwise(bin_)
+        binned = cells.select(at.alias("range"), bin_.alias("bin"), "value").where("range is not null")
+        counted = binned.groupBy("range", "bin").agg(
+            F.count("*").alias("n"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        )
+        per_range: dict[int, list] = {}
+        for row in counted.collect():
+            per_range.setdefault(row["range"], []).append(row)
+        index = {r: k for k, r in enumerate(ranges)}
+        for s in open_:
+            below = s.below
+            for row in sorted(per_range[index[(s.column[1], s.low, s.high)]], key=lambda r: r["bin"]):
+                if below + row["n"] > s.rank:
+                    s.below, s.low, s.high = below, row["low"], row["high"]
+                    if s.low == s.high or below == s.rank:
+                        s.value = s.low
+                    elif below + row["n"] - 1 == s.rank:
+                        s.value = s.high
+                    break
+                below += row["n"]
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, NULLs left out; None for a column without values."""
+    return {c: s.quantiles for c, s in spreads(df, wanted).items()}
+
+
+def weighted_quantile(counted: DataFrame, value: str, weight: str, p: float) -> float | None:
+    """Exact quantile of ``value`` where each row stands for ``weight`` (a whole number) equal rows.
+
+    Ranks are searched over sums of weights; no task gathers the values. ``counted`` is read a few times.
+    """
+    rows = counted.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
+        F.col(value).cast("double").alias("value"), F.col(weight).cast("bigint").alias("weight")
+    )
+    span = rows.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("weight").alias("n")).first()
+    if not span["n"]:
+        return None
+    position = (span["n"] - 1) * p
+    lo, hi = math.floor(position), math.ceil(position)
+    found = _locate(rows, [_Search("value", r, span["low"], span["high"]) for r in sorted({lo, hi})], "weight")
+    a, b = found[("value", lo)][0], found[("value", hi)][0]
+    share = position - lo
+    return a if lo == hi else (1 - share) * a + share * b
+
+
+class RankIndex:
+    """Rows by rank in the order of nullable integral keys, NULL after all values.
+
+    One pass counts the rows of each cell of the leading key, with partial counts before the shuffle. ``cell``
+    maps that key to cells whose number its domain bounds (days, hours of a calendar); in the same order. The
+    counts answer in which cell a rank lies, for as many ranks as wanted, and how many rows there are. Only
+    the keys of the rows in those cells are read again; they are staged and narrowed there.
+    """
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], cell: Callable[[Column], Column] = lambda key: key):
+        self.df, self.keys, self.cell = df, list(keys), cell(F.col(keys[0]))
+        counted = df.groupBy(self.cell.alias("cell")).agg(F.count("*").alias("n")).collect()
+        self.cells = sorted(((r["cell"], r["n"]) for r in counted), key=lambda c: (c[0] is None, c[0] or 0))
+        self.n = sum(n for _, n in self.cells)
+
+    def cuts(self, ranks: Sequence[int]) -> list[tuple]:
+        """The keys of the rows at 0-based ranks, each key as the pair (1 if NULL, value or 0)."""
+        if ranks and not 0 <= min(ranks) <= max(ranks) < self.n:
+            raise ValueError(f"ranks {sorted(set(ranks))} of {self.n} rows")
+        places, offsets = [], []
+        for rank in ranks:
+            for place, n in self.cells:
+                if rank < n:
+                    break
+                rank -= n
+            places.append(place)
+            offsets.append(rank)
+        named = [p for p in set(places) if p is not None]
+        hit = F.coalesce(self.cell.isin(named), F.lit(False)) if named else F.lit(False)
+        if None in places:
+            hit = hit | self.cell.isNull()
+        near = stage(self.df.where(hit).select(self.cell.alias("_cell"), *self.keys), "cuts")
+        ties = [F.col("_cell").isNull() if p is None else F.col("_cell") == F.lit(p) for p in places]
+        found: list[tuple] = [()] * len(places)
+        for key in self.keys:
+            own = near.select(*[F.when(t, F.col(key)).alias(f"k{i}") for i, t in enumerate(ties)])
+            spans = own.agg(
+                *[
+                    F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
+                    for c in own.columns
+                ]
+            ).first()
+            searches = [
+                _Search(c, offset, spans[c]["low"], spans[c]["high"])
+                for c, offset in zip(own.columns, offsets, strict=True)
+                if offset < spans[c]["n"]
+            ]
+            located = _locate(own, searches)
+            for i, c in enumerate(own.columns):
+                if (c, offsets[i]) in located:
+                    value, below = located[(c, offsets[i])]
+                    found[i] += (0, value)
+                    ties[i] = ties[i] & (F.col(key) == F.lit(value))
+                    offsets[i] -= below
+                else:
+                    found[i] += (1, 0)
+                    ties[i] = ties[i] & F.col(key).isNull()
+                    offsets[i] -= spans[c]["n"]
+        return found
+
+
 def rows_at_ranks(df: DataFrame, keys: Sequence[str], ranks: Sequence[int]) -> list[tuple]:
     """Key tuples found at 0-based ranks when ``df`` is ordered by integral ``keys``.
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.order_stats import weighted_quantile
+from shelfcast.session import stage
+
 
 def open_days(panel: DataFrame) -> DataFrame:
     """Keep open days; mark (not drop) open days without sales."""
@@ -12,14 +15,14 @@ def open_days(panel: DataFrame) -> DataFrame:
     return panel.where(F.col("open_flag") == 1).withColumn("is_zero_sales_anomaly", marked)
 
 
-def median_by_value(df: DataFrame, column: str) -> DataFrame:
-    """One-row frame with the exact median over the rows of ``df``.
+def median_by_value(df: DataFrame, column: str) -> float | None:
+    """Exact median over the rows of ``df``, as a number.
 
-    Rows are first counted per value (map-side), so the median buffer holds one entry per distinct
-    value: for a store attribute at most one per store, however many days each store has.
+    Rows are counted per value (map-side) in one narrow pass; the rank is then searched over these counts, so
+    neither the rows nor the distinct values meet in one task.
     """
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("days"))
-    return counted.agg(F.percentile(column, 0.5, F.col("days")).alias("median"))
+    return weighted_quantile(stage(counted, "days-by-value"), column, "days", 0.5)
 
 
 def impute(days: DataFrame) -> DataFrame:
@@ -29,7 +32,7 @@ def impute(days: DataFrame) -> DataFrame:
     * competition and second-promotion dates: 0, with a flag for a known competition date
     * promotion interval: empty text; state holiday: text, "0.0" and "0" are the same
     """
-    median = median_by_value(days, "competition_distance").scalar()
+    median = F.lit(median_by_value(days, "competition_distance")).cast("double")
     known = F.col("competition_open_month").isNotNull() & F.col("competition_open_year").isNotNull()
     holiday = F.coalesce(F.col("state_holiday").cast("string"), F.lit("nan"))
     zero = [

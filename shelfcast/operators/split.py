@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.order_stats import precedes, rows_at_ranks
+from shelfcast.functions.order_stats import RankIndex, precedes
 from shelfcast.schema import VALIDATION_WEEKS
 
 
@@ -36,37 +36,39 @@ def temporal_folds(panel: DataFrame, splits: int = 3) -> DataFrame:
 
     Fold i trains on all rows with a smaller fold number. Sizes follow the row order (date, store):
     every validation part has ``n // (splits + 1)`` rows, the remainder goes to the first train part.
-    Rows without a date or store come after all others. The keys are read several times: a caller with
-    an expensive panel persists or stages it.
+    Rows without a date or store come after all others. The keys are read twice (counts by day, rows of the
+    days with a cut), the panel once more by the result: a caller with an expensive panel stages it.
     """
-    keyed = panel.withColumn("_day", F.unix_date("date"))
-    keys = ["_k0", "_k1", "_k2", "_k3"]
-    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_day"), *nulls_last("store_id")])))
-    ordered = keyed.select(*keys)
-    n = ordered.count()
-    size = n // (splits + 1)
+    keyed = panel.withColumns({"_day": F.unix_date("date"), "_store": F.col("store_id").cast("bigint")})
+    index = RankIndex(keyed.select("_day", "_store"), ["_day", "_store"])
+    size = index.n // (splits + 1)
     if size == 0:
-        raise ValueError(f"cannot cut {n} rows into {splits} folds")
-    starts = rows_at_ranks(ordered, keys, [n - size * (splits - i) for i in range(splits)])
+        raise ValueError(f"cannot cut {index.n} rows into {splits} folds")
+    starts = index.cuts([index.n - size * (splits - i) for i in range(splits)])
+    keys = ["_k0", "_k1", "_k2", "_k3"]
+    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_day"), *nulls_last("_store")])))
     fold = F.lit(splits)
     for i in reversed(range(splits)):
         fold = F.when(precedes(keys, starts[i]), i).otherwise(fold)
-    return keyed.withColumn("fold", fold).drop("_day", *keys)
+    return keyed.withColumn("fold", fold).drop("_day", "_store", *keys)
+
+
+HOUR_MICROS = 3_600_000_000
 
 
 def train_monitor(returns: DataFrame, fraction: float = 0.7) -> DataFrame:
     """Add ``is_train``: the first ``int(n * fraction)`` rows in order of (time, transaction).
 
-    Rows without a time come last, so each row gets a side. The keys are read several times: a caller
-    with an expensive log persists or stages it.
+    Rows without a time come last, so each row gets a side. The keys are read twice (counts by hour, rows
+    of the hour of the cut), the log once more by the result: a caller with an expensive log stages it.
     """
-    keyed = returns.withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    keyed = returns.withColumns({"_at": at, "_id": F.col("transaction_id").cast("bigint")})
+    index = RankIndex(keyed.select("_at", "_id"), ["_at", "_id"], lambda key: F.floor(key / F.lit(HOUR_MICROS)))
+    size = int(index.n * fraction)
+    if size >= index.n:
+        return returns.withColumn("is_train", F.lit(True))
+    (cut,) = index.cuts([size])
     keys = ["_k0", "_k1", "_k2", "_k3"]
-    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_at"), *nulls_last("transaction_id")])))
-    ordered = keyed.select(*keys)
-    n = ordered.count()
-    size = int(n * fraction)
-    if size >= n:
-        return keyed.withColumn("is_train", F.lit(True)).drop("_at", *keys)
-    (cut,) = rows_at_ranks(ordered, keys, [size])
-    return keyed.withColumn("is_train", precedes(keys, cut)).drop("_at", *keys)
+    keyed = keyed.withColumns(dict(zip(keys, [*nulls_last("_at"), *nulls_last("_id")])))
+    return keyed.withColumn("is_train", precedes(keys, cut)).drop("_at", "_id", *keys)

@@ -319,7 +319,7 @@ def forecast_variance(spark, d):
 @query
 def temporal_folds(spark, d):
     rows = clean.open_days(tpch.sales(spark, d)).where("is_zero_sales_anomaly = 0").select("store_id", "date")
-    return split.temporal_folds(rows)
+    return split.temporal_folds(stage(rows, "days"))
 
 
 @query
@@ -388,10 +388,7 @@ def val_predictions(spark, d):
 def cv_metrics(spark, d):
     train, _, numeric, categorical = _training(spark, d)
     folded = stage(split.temporal_folds(train), "folds")
-    shared: dict = {}
-    rows = [
-        r for n in models.MODELS for r in models.cross_validate(n, folded, numeric, categorical, statistics=shared)
-    ]
+    rows = models.validate_models(list(models.MODELS), folded, numeric, categorical)
     return spark.createDataFrame(
         [(r["model_name"], r["fold"], r["rmspe"], r["mae"], r["rmse"], r["r2"]) for r in rows],
         "model_name string, fold int, rmspe double, mae double, rmse double, r2 double",
@@ -453,7 +450,8 @@ def return_features(spark, d):
 
 @query
 def train_monitor_split(spark, d):
-    return split.train_monitor(tpch.returns(spark, d)).select("transaction_id", "is_train")
+    log = tpch.returns(spark, d).select("transaction_id", "ts")
+    return split.train_monitor(stage(log, "returns")).select("transaction_id", "is_train")
 
 
 def _amount_thresholds(log):

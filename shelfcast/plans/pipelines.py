@@ -107,8 +107,13 @@ def train_models(
     sample: float | None = None,
     exclude_anomalies: bool = True,
     settings: dict[str, dict] | None = None,
+    run: str | None = None,
 ) -> dict:
-    """Cross-validate and fit each model, save it with its manifest row."""
+    """Cross-validate and fit each model, save it with its manifest row.
+
+    With a ``run`` name the metrics of finished folds are kept under ``models_dir``: the same call takes up
+    there after it was ended.
+    """
     spark = train.sparkSession
     rows = sampled(train, sample) if sample and 0 < sample < 1 else train
     prepared, numeric, categorical = prepare_features(rows, exclude_anomalies)
@@ -121,11 +126,15 @@ def train_models(
         "models": {},
     }
     statistics: dict = {}  # imputation and scaling per training part, shared by the models
+    facts = {"rows": n_train, "numeric": numeric, "categorical": categorical, "splits": splits}
+    ledger = models.FoldLedger(spark, f"{models_dir.rstrip('/')}/cv-{run}", facts) if run else None
+    validated = models.validate_models(
+        list(models.MODELS), folded, numeric, categorical, splits, statistics, settings, ledger
+    )
+    statistics["all"] = fit_numeric(folded, numeric)
     for name in models.MODELS:
         overrides = (settings or {}).get(name, {})
-        folds = models.cross_validate(name, folded, numeric, categorical, splits, statistics, **overrides)
-        if "all" not in statistics:
-            statistics["all"] = fit_numeric(folded, numeric)
+        folds = [row for row in validated if row["model_name"] == name]
         fitted, seconds = models.fit_pipeline(name, folded.drop("fold"), numeric, categorical, statistics["all"], **overrides)
         names = feature_names(PipelineModel(stages=fitted.stages[:-1]), numeric, categorical)
         facts = {

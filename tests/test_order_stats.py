@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfcast.functions import order_stats as o
 
 
@@ -47,3 +49,60 @@ def test_rows_at_ranks_cut_inside_ties(spark):
     assert found == [ordered[r] for r in ranks]
     for rank, cut in zip(ranks, found):
         assert df.where(o.precedes(["a", "b"], cut)).count() == rank
+
+
+def test_spreads_have_moments_and_need_two_scans(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    n = 30_000
+    rows = {"a": rng.normal(size=n) * 1e6, "b": np.where(rng.random(n) < 0.6, 0.0, rng.random(n)), "c": rng.integers(0, 3, n) * 1.0}
+    path = str(tmp_path / "t")
+    spark.createDataFrame([tuple(float(rows[c][i]) for c in rows) for i in range(n)], "a double, b double, c double").write.parquet(path)
+    df = spark.read.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    got = o.spreads(df.mapInArrow(counted, df.schema), {c: [0.25, 0.5, 0.9] for c in rows})
+    assert read.value == 2 * n
+    for c, x in rows.items():
+        assert got[c].n == n
+        np.testing.assert_allclose(got[c].quantiles, np.percentile(x, [25, 50, 90]), rtol=1e-12)
+        np.testing.assert_allclose([got[c].mean, got[c].variance], [x.mean(), x.var()], rtol=1e-9)
+
+
+def test_a_missed_bracket_is_searched_in_full(spark, monkeypatch):
+    monkeypatch.setattr(o, "ACCURACY", 4)  # brackets that mean little
+    x = np.random.default_rng(3).normal(size=4000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    ps = [0.0, 0.2, 0.5, 0.77, 1.0]
+    assert np.allclose(o.exact_quantiles(df, {"x": ps})["x"], np.percentile(x, np.array(ps) * 100), rtol=1e-12)
+
+
+def test_weighted_quantile_is_the_quantile_of_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    values, weights = rng.normal(size=500) * 10, rng.integers(0, 60, 500)
+    df = spark.createDataFrame([(float(v), int(w)) for v, w in zip(values, weights)] + [(None, 9)], "v double, w int")
+    whole = np.repeat(values, weights)
+    for p in (0.0, 0.31, 0.5, 1.0):
+        assert o.weighted_quantile(df, "v", "w", p) == pytest.approx(np.percentile(whole, 100 * p), rel=1e-12)
+    assert o.weighted_quantile(df.where("v is null"), "v", "w", 0.5) is None
+
+
+def test_rank_index_cuts_rows_with_ties_and_nulls(spark):
+    rng = np.random.default_rng(6)
+    rows = [(None if rng.random() < 0.1 else int(rng.integers(0, 9)) * 10 if rng.random() < 0.7 else 40,
+             None if rng.random() < 0.1 else int(rng.integers(-50, 50))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint")
+    key = lambda r: tuple(x for v in r for x in ((1, 0) if v is None else (0, v)))
+    ordered = sorted(map(key, rows))
+    ranks = [0, 1, 700, 1400, 1790, 1850, 1999]
+    for cell in (lambda k: k, lambda k: F.floor(k / 25), lambda k: F.floor(k / 1000)):
+        index = o.RankIndex(df, ["a", "b"], cell)
+        assert index.n == len(rows)
+        assert index.cuts(ranks) == [ordered[r] for r in ranks]
+    with pytest.raises(ValueError):
+        index.cuts([2000])
+    assert o.RankIndex(df.limit(0), ["a", "b"]).n == 0
