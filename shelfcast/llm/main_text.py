@@ -116,13 +116,14 @@ class _Reader:
         self.linked = 0  # words of the block that stand in links
         self.links = 0
         self.beside = 0
+        self.skipped = False  # the paragraph that is open is itself beside the article
         self.open: list[tuple[str, str]] = []  # (element, what it is)
         self.count: dict[str, int] = {}
         self.regions = [0]
         self.made = 0
 
     def text(self, raw: str) -> None:
-        if self.beside:
+        if self.beside or self.skipped:
             return
         value = html.unescape(raw) if "&" in raw else raw
         self.parts.append(value)
@@ -142,7 +143,9 @@ class _Reader:
             self.parts.append("\n")
         if name in BLOCKS:
             self.flush()
-        if name not in HELD or name in VOID:
+            # a paragraph ends where the next block begins, with or without its end tag
+            self.skipped = name == "p" and place(name, tag, len(self.regions) > 1) == "beside"
+        if name not in HELD:
             return
         if name == "a":
             if self.count.get("a"):  # links do not nest
@@ -162,6 +165,7 @@ class _Reader:
     def end(self, name: str) -> None:
         if name in BLOCKS:
             self.flush()
+            self.skipped = False
         if not self.count.get(name):
             return
         while True:
