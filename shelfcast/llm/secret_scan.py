@@ -4,14 +4,21 @@ Three base patterns (assignments to sensitive names, access key ids, long hexade
 by a lexer for source and configuration syntax. At every ``=``, ``:``, ``:=``, ``=>``, ``?=`` or
 ``+=`` it reads the name on the left (quoted keys, dotted and subscripted names, annotated declarations) and the
 expression on the right: quoted literals (also in backticks and over several lines), bare values, names, sums of
-those, and lists, parentheses and calls of them, up to ``DEPTH`` deep. A name on the right stands for the
-literals last assigned to it, so a constant is followed to the names that it flows into. A literal is
-scored by the most sensitive of its target names and by its own form (length, mixture of characters,
-no placeholder); under a clear password name a short literal or one with blanks is enough. Literals that reach ``THRESHOLD`` are spans of kind ``literal``, unless a base span
-holds them already.
+those, and lists, parentheses and calls of them, however deep. A name on the right stands for the
+literals last assigned to it, so a constant is followed to the names that it flows into; a dotted name, or a
+word that is written like a name, is never a literal itself. A literal is scored by the most sensitive of its
+target names and by its own form (length, mixture of characters, no placeholder); literals that are joined by
+``+`` or stand side by side are scored as the one value that they make. Under a clear password name a short
+literal or one with blanks is enough. Literals that reach ``THRESHOLD`` are spans of kind ``literal``, unless a
+base span holds them already.
+
+Open brackets are kept on a stack and what a bracket holds is remembered by its place, so an assignment within
+other assignments' brackets is not read again for each of them: a text of any length and depth is read in
+linear time.
 
 Defined results: null and empty texts have no spans; offsets are code points, ends exclusive; equal rows
-get equal spans; a text of any length is read once from left to right; other columns pass through.
+get equal spans; an empty table gives an empty result; other columns pass through, but for one that is called
+like the result.
 """
 
 from __future__ import annotations
@@ -41,7 +48,6 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 THRESHOLD = 0.5
 MIN_LITERAL = 8
 MIN_PASSWORD = 6
-DEPTH = 4
 # Parts of names and how far they mark a value as secret; two or more add up, one at most counts.
 SENSITIVE = {
     "password": 1.0,
@@ -80,7 +86,7 @@ OPERATOR = re.compile(r":=|=>|[?+]=|[=:]")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 LEFT = re.compile(r"""[A-Za-z0-9_.$\-"'\[\] \t]""")
 NAME = re.compile(r"""(?:^|[^A-Za-z0-9_.$\-])\$?([A-Za-z_][A-Za-z0-9_.$\-]*)(?:\[?["']([A-Za-z0-9_.\-]+)["']\]?)?["']?[ \t]*$""")
-QUOTED_KEY = re.compile(r"""(["'])([A-Za-z0-9_.\-]+)\1[ \t]*\]?[ \t]*$""")
+KEY = re.compile(r"[A-Za-z0-9_.\-]+")
 VALUE = re.compile(
     r'''[ \t]*(?:[rbuf]{0,2}(?:"""((?:[^"\\]++|\\.|"(?!""))*+)"""|\'{3}((?:[^'\\]++|\\.|'(?!''))*+)\'{3}'''
     r"""|"(?!"")((?:[^"\\\n]|\\.)*)"|'(?!'')((?:[^'\\\n]|\\.)*)')|`((?:[^`\\]++|\\.)*+)`|([A-Za-z0-9+/_.=\-]+))""",
@@ -94,6 +100,8 @@ WITHIN = re.compile(r"\s*")
 CLOSER = re.compile(r"\s*[\])]")
 PLUS = re.compile(r"[ \t]*\+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*$")
+# A word that is written like a name: dotted, or in parts of letters; but not a signed token of three encoded parts.
+REFERENCE = re.compile(r"(?!eyJ[\w-]+\.[\w-]+\.)[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+$|[A-Za-z]+(?:_[A-Za-z]+)+$")
 
 
 def name_score(name: str) -> float:
@@ -142,9 +150,9 @@ def _target(text: str, at: int) -> str | None:
     while start > 0 and LEFT.match(text, start - 1):
         start -= 1
     left = text[start:at]
-    key = QUOTED_KEY.search(left)
+    key = _quoted_key(left)
     if key:
-        return key[2]
+        return key
     name = NAME.search(left)
     if not name:
         return None
@@ -155,63 +163,128 @@ def _target(text: str, at: int) -> str | None:
     return name[2] or name[1]
 
 
-Literals = list[tuple[int, int, str, bool]]
+def _quoted_key(left: str) -> str | None:
+    """The quoted key that ends a left side, with or without a closing bracket."""
+    left = left.rstrip(" \t")
+    if left.endswith("]"):
+        left = left[:-1].rstrip(" \t")
+    if not left or left[-1] not in "\"'":
+        return None
+    opened = left.rfind(left[-1], 0, len(left) - 1)
+    return left[opened + 1 : -1] if opened >= 0 and KEY.fullmatch(left, opened + 1, len(left) - 1) else None
+
 
+# One value: its pieces as (start, end, text, quoted); several where literals are joined.
+Value = list[tuple[int, int, str, bool]]
 
-def _literals(value: re.Match, group: int) -> Literals:
-    """(start, end, value, quoted) of a value; of a string over several lines each line without its blanks."""
+
+def _pieces(value: re.Match, group: int) -> list[Value]:
+    """The value of a match; of a string over several lines each line, without its blanks, is a value."""
     whole, start = value[group], value.start(group)
     if group not in TRIPLE or "\n" not in whole:
-        return [(start, value.end(group), whole, group != BARE)]
+        return [[(start, value.end(group), whole, group != BARE)]]
     out = []
     for line in whole.split("\n"):
         if inner := line.strip():
             first = start + line.index(inner)
-            out.append((first, first + len(inner), inner, False))
+            out.append([(first, first + len(inner), inner, False)])
         start += len(line) + 1
     return out
 
 
-def _expression(text: str, at: int, known: dict[str, int]) -> tuple[Literals, list[int]]:
-    """The literals of the expression at ``at`` and the nodes of its names.
+class _Nodes:
+    """What was read so far: nodes with their values and the nodes that flow into them, names, brackets."""
+
+    def __init__(self) -> None:
+        self.values: list[list[Value]] = []
+        self.sources: list[list[int]] = []
+        self.known: dict[str, int] = {}
+        #: By the place behind an opening bracket: its node, the place behind it, whether it was closed.
+        self.brackets: dict[int, tuple[int, int, bool]] = {}
 
-    The depth is bounded, so that no part of a text is read for more than ``DEPTH`` expressions around it. What is
-    given to a look-up is the name of a setting and no literal.
+    def add(self, values: list[Value], sources: list[int]) -> int:
+        self.values.append(values)
+        self.sources.append(sources)
+        return len(self.values) - 1
+
+
+def _expression(text: str, at: int, nodes: _Nodes) -> tuple[list[Value], list[int]]:
+    """The values of the expression at ``at``, and the nodes of its names and brackets.
+
+    What is given to a look-up is the name of a setting and no literal.
     """
-    own: Literals = []
-    parts: list[int] = []
-    depth = 0
+    values: list[Value] = []
+    sources: list[int] = []
+    outer: list[tuple[int, list[Value], list[int]]] = []
+    join = False  # the next literal goes on with the last value
+
+    def left(closed: bool) -> None:
+        """Leave the innermost bracket: it becomes a node of the one around it."""
+        nonlocal values, sources
+        place, around, others = outer.pop()
+        node = nodes.add(values, sources)
+        nodes.brackets[place] = (node, at, closed)
+        values, sources = around, [*others, node]
+
+    def ended() -> tuple[list[Value], list[int]]:
+        while outer:
+            left(False)
+        return values, sources
+
     while True:
-        while (opener := OPENER.match(text, at)) and (depth or "\n" not in opener[0]):
-            if depth == DEPTH or (opener[1] and LOOKUP.search(opener[1])):
-                return own, parts
-            at, depth = opener.end(), depth + 1
-        if depth:
-            if argument := ARGUMENT.match(text, at):
-                at = argument.end()
-                if OPENER.match(text, at):
-                    continue
-            at = WITHIN.match(text, at).end()
-        value, closed = VALUE.match(text, at), False
-        group = value and next(g for g in (*QUOTED, BARE) if value[g] is not None)
+        read = False
+        while (opener := OPENER.match(text, at)) and (outer or "\n" not in opener[0]):
+            if opener[1] and LOOKUP.search(opener[1]):
+                return ended()
+            at = opener.end()
+            if at in nodes.brackets:
+                node, at, closed = nodes.brackets[at]
+                sources.append(node)
+                if not closed:
+                    return ended()
+                read = True
+                break
+            outer.append((at, values, sources))
+            values, sources, join = [], [], False
+        value, group = None, 0
+        if not read:
+            if outer:
+                if argument := ARGUMENT.match(text, at):
+                    at, join = argument.end(), False
+                    if OPENER.match(text, at):
+                        continue
+                at = WITHIN.match(text, at).end()
+            value = VALUE.match(text, at)
         if value:
-            if group == BARE and IDENTIFIER.match(value[group]) and value[group] in known:
-                parts.append(known[value[group]])
-            elif value[group] and (group != BARE or not depth):
-                own += _literals(value, group)
+            group = next(g for g in (*QUOTED, BARE) if value[g] is not None)
+            word = value[group]
+            if group == BARE and IDENTIFIER.match(word) and word in nodes.known:
+                sources.append(nodes.known[word])
+            elif word and not (group == BARE and (outer or REFERENCE.match(word))):
+                found = _pieces(value, group)
+                if join and values and len(found) == 1:
+                    values[-1] = values[-1] + found[0]
+                else:
+                    values += found
             at = value.end()
-        while depth and (closer := CLOSER.match(text, at)):
-            at, depth, closed = closer.end(), depth - 1, True
+        closed = read
+        while outer and (closer := CLOSER.match(text, at)):
+            at = closer.end()
+            left(True)
+            closed = True
         if not value and not closed:
-            return own, parts
+            return ended()
+        joinable = bool(value) and group in QUOTED and not closed
         if plus := PLUS.match(text, at):
-            at = plus.end()
+            at, join = plus.end(), joinable
             continue
-        after = WITHIN.match(text, at).end() if depth else at
-        if depth and text[after : after + 1] == ",":
-            at = after + 1
-        elif not (depth and group in QUOTED and text[after : after + 1] in ('"', "'", "`")):
-            return own, parts
+        after = WITHIN.match(text, at).end() if outer else at
+        if outer and text[after : after + 1] == ",":
+            at, join = after + 1, False
+        elif outer and group in QUOTED and text[after : after + 1] in ('"', "'", "`"):
+            join = joinable
+        else:
+            return ended()
 
 
 def scored_literals(text: str) -> Iterator[tuple[int, int, float]]:
@@ -221,35 +294,35 @@ def scored_literals(text: str) -> Iterator[tuple[int, int, float]]:
     that name stood for. Read backwards, the sensitivity of targets flows to what they were made of, so
     the work is linear in the text however constants are chained.
     """
-    literals: list[Literals] = []
-    sources: list[list[int]] = []
+    nodes = _Nodes()
     flow: list[float] = []
     clear: list[bool] = []
-    known: dict[str, int] = {}
     for operator in OPERATOR.finditer(text):
         at, end = operator.span()
         readable = VALUE.match(text, end) or OPENER.match(text, end)
         name = _target(text, at) if readable else None
         if not name:
             continue
-        own, parts = _expression(text, end, known)
-        if operator[0] == "+=" and name in known:
-            parts.append(known[name])
-        known[name] = len(flow)
-        literals.append(own)
-        sources.append(parts)
-        flow.append(name_score(name))
-        clear.append(bool(PASSWORD.search(name)))
+        values, sources = _expression(text, end, nodes)
+        if operator[0] == "+=" and name in nodes.known:
+            sources.append(nodes.known[name])
+        nodes.known[name] = nodes.add(values, sources)
+        flow += [0.0] * (len(nodes.values) - len(flow))
+        clear += [False] * (len(nodes.values) - len(clear))
+        flow[-1], clear[-1] = name_score(name), bool(PASSWORD.search(name))
+    # a node is made after all that flow into it
     for node in range(len(flow) - 1, -1, -1):
-        for source in sources[node]:
+        for source in nodes.sources[node]:
             flow[source] = max(flow[source], flow[node])
             clear[source] |= clear[node]
         if flow[node]:
-            for start, end, value, quoted in literals[node]:
-                score = flow[node] * literal_score(value)
+            for value in nodes.values[node]:
+                whole, quoted = "".join(v[2] for v in value), value[0][3]
+                score = flow[node] * literal_score(whole)
                 if clear[node] and score < THRESHOLD:
-                    score = max(score, THRESHOLD * password_score(value, quoted))
-                yield start, end, score
+                    score = max(score, THRESHOLD * password_score(whole, quoted))
+                for start, end, _, _ in value:
+                    yield start, end, score
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
