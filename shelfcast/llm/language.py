@@ -11,7 +11,8 @@ The network is trained in numpy by backpropagation through time and Adam, on sho
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every text if there is
 nothing to learn from; ties go to the language first in order; rows without a language are not learned from but are
-predicted; equal texts get equal predictions.
+predicted; equal texts get equal predictions; an empty table gives an empty result; other columns, however they
+are called, play no part in ``identify`` and pass through ``predicted``, which replaces those called like a result.
 """
 
 from __future__ import annotations
@@ -21,16 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import slices
+from .staging import fold, slices
 
 UNDETERMINED = "und"
 HIDDEN = 8
 SPAN = 256
 CONTEXT = 16
 PER_LANGUAGE = 600
+#: Labels beyond the most frequent ones are not learned; a dirty column cannot make the sample grow.
+MOST_LANGUAGES = 200
 WINDOWS = 4
 WINDOW_CHARS = 48
 STEPS = 500
@@ -40,9 +43,9 @@ ROWS = 1024
 LETTER = re.compile(r"[^\W\d_]")
 
 
-def fold(doc_id: Column, folds: int = 5) -> Column:
-    """CRC-32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (Unicode category L); numbers such as a half or a Roman eight are none."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
 
 
 def sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language: int = PER_LANGUAGE) -> list[tuple]:
@@ -51,7 +54,8 @@ def sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language:
     The share of documents to take follows from exact counts; which ones, and where their windows lie, from
     hashes of the id. Windows are cut before anything is collected.
     """
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
+    counted = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES)
+    counts = {r[0]: r[1] for r in counted.collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))])
@@ -64,7 +68,7 @@ def sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language:
     chosen = labelled.where(draw < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.array(*windows).alias("w"), doc_id)
     bound = 2 * per_language * len(counts)
     rows = chosen.orderBy(F.xxhash64(doc_id), doc_id).limit(bound).collect()
-    return [(r["lang"], w.encode()) for r in rows for w in r["w"] if LETTER.search(w)]
+    return [(r["lang"], w.encode()) for r in rows for w in r["w"] if has_letter(w)]
 
 
 class ByteGru:
@@ -237,7 +241,7 @@ def predicted(docs: DataFrame, languages: list[str], network: ByteGru | None, te
         for batch in slices(batches):
             names, scores = [UNDETERMINED] * len(batch), [0.0] * len(batch)
             texts = batch.column(text)
-            rows = [i for i in range(len(batch)) if network and LETTER.search(texts[i].as_py() or "")]
+            rows = [i for i in range(len(batch)) if network and has_letter(texts[i].as_py() or "")]
             if rows:
                 shares = network.shares([texts[i].as_py().encode() for i in rows]).round(5)
                 for i, best, share in zip(rows, shares.argmax(axis=1), shares.max(axis=1), strict=True):

@@ -1,22 +1,25 @@
 """Text likelihood by a lattice over all segmentations into known pieces.
 
-A word's pieces come from an existing vocabulary; their scores start from its order and are then
-re-estimated from the training words by expectation maximization over the lattice. The probability of a
-word sums over every segmentation (forward recursion in log space), so no single one is chosen. A whole
-training word is an edge of the lattice too: its discounted share of the training tokens. The mass that
-discounting frees goes to the lattice of pieces, which is what unseen words get.
+The pieces and their weights come from an existing vocabulary: a piece's score in the file, normalised once to
+a unigram distribution. The probability of a word sums over every segmentation (forward recursion in log
+space), so no single one is chosen; a text's probability is that of its words and of the end behind
+them. How often a text ends is learned from the training texts, as are the counts of the base score.
 
 No piece crosses the start of a word, so the marginal probability of a text is the product over its words
 and the end; the recursion runs once for each distinct word of the corpus, in parallel, and the texts
-are scored by joining their words with these results. The ``HOT_WORDS`` most frequent words (at most
-``HOT_BYTES`` bytes each, so a proven bound) go to every task, the rest meets the texts in a shuffled join,
-so no frequent word becomes a hot key.
+are scored by joining their words with these results. The most frequent words of all texts, at most
+``HOT_WORDS`` of at most ``HOT_TOTAL`` bytes together (a proven bound, whatever their length), go to every task; the
+rest meets the texts in a shuffled join, so no frequent word becomes a hot key.
 
-Counts, word probabilities and piece estimates cover all training documents; the tables grow with them.
+Two options go beyond the existing scores, and are off unless asked for: ``iterations`` rounds of expectation
+maximization estimate the weights anew from the training words, and ``whole_words`` makes each training word
+an edge of the lattice with its discounted share of the tokens.
+
+Counts cover all training documents, word probabilities all documents; the tables grow with them.
 
 Defined results: null is treated as the empty text, which is the end token alone; repeated rows are scored
-by themselves; with nothing to learn from all pieces have their starting scores; characters outside the
-vocabulary are spelled in byte pieces; other columns play no part.
+by themselves; characters outside the vocabulary are spelled in byte pieces; an empty table gives an empty
+result; texts and words of any length are read whole; other columns play no part.
 """
 
 from __future__ import annotations
@@ -32,19 +35,24 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import slices, staged
+from .staging import fold, slices, staged
 
 MARK = "▁"
 DISCOUNT = 0.75
-ITERATIONS = 2
 HOT_WORDS = 131_072
-HOT_BYTES = 64
+HOT_TOTAL = 8 << 20
 FLUSH_WORDS = 200_000
+FLUSH_BYTES = 64 << 20
 BATCH_ROWS = 20_000
 
 
 def vocabulary(path: str) -> tuple[list[str], list[float], dict[int, int]]:
-    """Pieces, starting log probabilities (by rank in the vocabulary), and the index of each byte piece."""
+    """Pieces, their log probabilities from the file's scores, and the index of each byte piece.
+
+    A file whose scores are log probabilities gives them as they are. In a file of merges they are ranks (0, -1,
+    -2, ...), which are no logarithms of anything: there a piece weighs 1 / (rank + 10), as word frequencies fall.
+    Either way the weights are normalised once.
+    """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces, ranks, bytes_at = [], [], {}
     for i in range(model.get_piece_size()):
@@ -129,57 +137,55 @@ class Lattice:
                             counts[self.bytes_at[b]] += part
 
 
-def fold(doc_id: Column) -> Column:
-    """CRC-32 of the id as text, modulo 5; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
-
-
 def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(``word``, ``c``) over all texts, ``c`` in training texts only; the null word counts training texts.
+    """(``word``, ``c``, ``times``): occurrences in training texts and in all; the null word counts the texts.
 
     ``docs`` has ``text`` and ``train``. Words are counted in each task before the shuffle; a task's table is
     handed on whenever it has ``FLUSH_WORDS`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned, other, texts = Counter(), set(), 0
+        learned, other, texts, letters = Counter(), Counter(), [0, 0], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             words = list(learned) + [w for w in other if w not in learned]
-            numbers = [learned.get(w, 0) for w in words]
             for at in range(0, len(words), BATCH_ROWS):
-                part = pa.array(words[at : at + BATCH_ROWS], pa.binary()).cast(pa.string())
-                yield _record(["word", "c"], [part, pa.array(numbers[at : at + BATCH_ROWS], pa.int64())])
+                part = words[at : at + BATCH_ROWS]
+                seen = [learned.get(w, 0) for w in part]
+                times = [n + other.get(w, 0) for n, w in zip(seen, part, strict=True)]
+                column = pa.array(part, pa.binary()).cast(pa.string())
+                yield _record(["word", "c", "times"], [column, pa.array(seen, pa.int64()), pa.array(times, pa.int64())])
             learned.clear()
             other.clear()
 
         for batch in slices(batches):
             train = batch.column("train").to_pylist()
             for text, is_train in zip(_texts(batch.column("text")), train, strict=True):
-                words = text.lower().split()
-                if is_train:
-                    learned.update(words)
-                    texts += 1
-                else:
-                    other.update(words)
-                if len(learned) + len(other) >= FLUSH_WORDS:
+                (learned if is_train else other).update(text.lower().split())
+                texts[0] += is_train
+                texts[1] += 1
+                letters += len(text)
+                # the table holds no more bytes than the texts since the last time
+                if len(learned) + len(other) >= FLUSH_WORDS or letters >= FLUSH_BYTES:
                     yield from flush()
+                    letters = 0
         yield from flush()
-        yield _record(["word", "c"], [pa.array([None], pa.string()), pa.array([texts], pa.int64())])
+        counts = [pa.array([n], pa.int64()) for n in texts]
+        yield _record(["word", "c", "times"], [pa.array([None], pa.string()), *counts])
 
-    counted = docs.select("text", "train").mapInArrow(run, "word string, c long")
-    return counted.groupBy("word").agg(F.sum("c").alias("c"))
+    counted = docs.select("text", "train").mapInArrow(run, "word string, c long, times long")
+    return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("times").alias("times"))
 
 
 def _record(names: list[str], columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def reestimated(words: DataFrame, vocab: tuple, iterations: int = ITERATIONS) -> list[float]:
+def reestimated(words: DataFrame, vocab: tuple, iterations: int) -> list[float]:
     """Piece log probabilities after expectation maximization over the distinct training words.
 
     Each task sums the expected uses over its words; what comes back is one row for each piece.
@@ -207,49 +213,61 @@ def reestimated(words: DataFrame, vocab: tuple, iterations: int = ITERATIONS) ->
     return scores
 
 
-def word_scores(words: DataFrame, vocab: tuple, scores: list[float], total: int, distinct: int) -> DataFrame:
-    """(``word``, ``c``, ``base``, ``model``): log10 probabilities of each distinct word of the corpus."""
+def word_scores(
+    words: DataFrame, vocab: tuple, scores: list[float], total: int, distinct: int, word: float, whole_words: bool = False
+) -> DataFrame:
+    """(``word``, ``c``, ``times``, ``base``, ``model``): log10 probabilities of each distinct word of the corpus.
+
+    ``word`` is the log probability that a token is a word and not the end.
+    """
     pieces, _, bytes_at = vocab
     # tokens kept back from whole words by discounting; all of the mass where nothing was learned
-    free = math.log(DISCOUNT * distinct / total) if total else 0.0
+    free = math.log(DISCOUNT * distinct / total) if whole_words and total else word
     base_total = math.log10(total + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces, scores, bytes_at)
         for batch in slices(batches):
             base, model = [], []
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_pieces = free + lattice.log_probability(word)
-                whole = math.log((c - DISCOUNT) / total) if c > 0 else -math.inf
-                model.append(np.logaddexp(whole, by_pieces) / math.log(10))
+            for text, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = free + lattice.log_probability(text)
+                if whole_words and c > 0:
+                    found = np.logaddexp(math.log((c - DISCOUNT) / total), found)
+                model.append(found / math.log(10))
                 base.append(math.log10(c + 0.5) - base_total)
             yield _record(
-                ["word", "c", "base", "model"],
-                [batch.column(0), batch.column(1), pa.array(base, pa.float64()), pa.array(model, pa.float64())],
+                ["word", "c", "times", "base", "model"],
+                [*batch.columns, pa.array(base, pa.float64()), pa.array(model, pa.float64())],
             )
 
-    known = words.where("word is not null").select("word", "c")
-    return known.mapInArrow(run, "word string, c long, base double, model double")
+    known = words.where("word is not null").select("word", "c", "times")
+    return known.mapInArrow(run, "word string, c long, times long, base double, model double")
+
 
+def _hot_words(scored: DataFrame, most: int, most_bytes: int = HOT_TOTAL) -> dict[bytes, tuple[bool, float, float]]:
+    """The most frequent words that number at most ``most`` and have at most ``most_bytes``.
 
-def _hot_words(scored: DataFrame, most: int) -> dict[bytes, tuple[bool, float, float]]:
-    """The most frequent short words that number at most ``most``, by a threshold on exact counts."""
-    short = scored.where(F.octet_length("word") <= HOT_BYTES)
-    level = F.floor(F.log2("c") * 8).cast("int")
-    levels = short.where("c > 1").groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
-    taken, least = 0, None
-    for row in levels:
-        taken += row["count"]
-        if taken > most:
+    Exact counts by level of frequency (an eighth of a power of two) tell how far down that reaches.
+    """
+    often = scored.where("times > 1")
+    level = F.floor(F.log2("times") * 8).cast("int")
+    levels = often.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.sum(F.octet_length("word")).alias("bytes"))
+    taken, size, least = 0, 0, None
+    for row in levels.orderBy(F.desc("level")).collect():
+        taken, size = taken + row["n"], size + row["bytes"]
+        if taken > most or size > most_bytes:
             break
         least = row["level"]
     if least is None:
         return {}
-    chosen = short.where("c > 1").where(level >= least).select("word", "c", "base", "model")
+    chosen = often.where(level >= least).select("word", "c", "base", "model")
     return {r["word"].encode(): (r["c"] > 0, r["base"], r["model"]) for r in chosen.collect()}
 
 
-def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
+def score(
+    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", hot_words: int = HOT_WORDS,
+    iterations: int = 0, whole_words: bool = False,
+) -> DataFrame:
     """(``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``) of each row."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -262,13 +280,14 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     ).first()
     total, distinct, ends = int(sums["total"] or 0), int(sums["distinct"]), int(sums["ends"] or 0)
     vocab = vocabulary(path)
-    scored = staged(
-        word_scores(words, vocab, reestimated(words, vocab), total, distinct), "word-scores"
-    )
+    scores = reestimated(words, vocab, iterations) if iterations else vocab[1]
+    share = (ends + 0.5) / (total + 1.0)  # of the tokens that are the end
+    found = word_scores(words, vocab, scores, total, distinct, math.log1p(-share), whole_words)
+    scored = staged(found, "word-scores")
     hot = spark.sparkContext.broadcast(_hot_words(scored, hot_words))
     base_total = math.log10(total + 0.5 * (distinct + 1))
     end_base = math.log10(ends + 0.5) - base_total
-    end_model = math.log10((ends + 0.5) / (total + 1.0))
+    end_model = math.log10(share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row of each document's frequent words and end, with its rare words as arrays."""

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _LOCAL: dict[str, str] = {}  # by application, for single-process masters
@@ -41,6 +42,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fold(doc_id: Column, folds: int = 5) -> Column:
+    """CRC-32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """``name``, with underscores in front until no column of the input is called so."""
     low = {c.lower() for c in taken}
