@@ -11,7 +11,9 @@ Texts are therefore cut before word marks and around line ends (both are checked
 ids of a chunk are kept for the next time that it occurs.
 
 Defined results: null is treated as the empty text, which has only the begin and end ids; characters
-outside the vocabulary become byte pieces; equal rows get equal ids; other columns pass through.
+outside the vocabulary become byte pieces; equal rows get equal ids; texts of any length are encoded whole; an
+empty table gives an empty result; other columns pass through, but for those called like a result. A model that
+normalises its texts is refused on loading.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from .staging import slices
 
 MARK = "▁"
+#: What a normaliser would change: widths, ligatures, accents, runs of blanks, line ends, control characters.
+NORMAL = ("", "a b", " a  b ", "Ａｂ ﬁ ² ½ e\u0301 é", "a\tb\r\nc\u200b\u00a0d\u3000", "x\u0001\ufeffy", "İ ß ſ")
 KEPT_CHUNKS = 500_000
 KEPT_PAIRS = 1_000_000
 KEPT_LENGTH = 64
@@ -42,6 +46,9 @@ class PieceModel:
 
     def __init__(self, path: str) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        # the texts go to the pieces as they are, with blanks as marks and one mark in front
+        if any(model.normalize(t) != (MARK + t.replace(" ", MARK) if t else "") for t in NORMAL):
+            raise ValueError("a model that normalises its texts needs that done first")
         self.begin, self.end, self.unknown = model.bos_id(), model.eos_id(), model.unk_id()
         self.text_of: list[str] = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.id_of: dict[str, int] = {}

@@ -73,10 +73,23 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each segment of each document is, with a digest of its ids as they stand in the packed row."""
+    """Where each segment of each document is, with digests of its ids and of the packed row that holds it.
+
+    The row's digests are those of the padded ids (2 bytes each), the cumulative lengths and the positions
+    (4 bytes each), all little-endian.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = packing.pack_documents(docs, TOKEN_RANKS, public_tokenizers.PATTERN)
-    laid = rows.select("pack_group", "pack_row", "ids", F.explode("segments").alias("s"))
+    lengths = F.array_join(F.transform("cu_seqlens", packing.little_endian_hex), "")
+    laid = rows.select(
+        "pack_group",
+        "pack_row",
+        "ids",
+        F.sha2("ids", 256).alias("row_sha256"),
+        F.sha2(F.unhex(lengths), 256).alias("cu_seqlens_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+        F.explode("segments").alias("s"),
+    )
     own = F.substring(F.col("ids"), F.col("s.start") * 2 + 1, F.col("s.n_tokens") * 2)
     return laid.select(
         F.col("s.doc_id").alias("doc_id"),
@@ -87,6 +100,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pack_row",
         F.col("s.start").alias("start"),
         F.sha2(own, 256).alias("ids_sha256"),
+        "row_sha256",
+        "cu_seqlens_sha256",
+        "positions_sha256",
     )
 
 

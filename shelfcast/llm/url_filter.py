@@ -12,8 +12,9 @@ Two rule sets run in the same automaton: host-and-path rules, of which the longe
 the general globs, which decide where no such rule fits.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path, fits no rule and is
-allowed; an empty path fits no rule, since rule paths begin with ``/``; equal rows are judged alike; other
-columns pass through.
+allowed; an empty host fits no rule, but its path may fit a glob; an empty path fits no rule, since rule paths
+begin with ``/``; URLs of any length are read whole; equal rows are judged alike; an empty table gives an empty
+result; other columns pass through, but for those called like a result.
 """
 
 from __future__ import annotations
@@ -170,7 +171,7 @@ def judged(
                 first = int(by_rule[row].argmax()) if len(ranked) and path and by_rule[row].any() else None
                 if first is None:
                     names.append(None)
-                    verdicts.append("block" if bad[row] and host else "allow")
+                    verdicts.append("block" if bad[row] else "allow")
                 else:
                     verdict, rule_host, rule_path = ranked[first]
                     names.append(rule_host + rule_path)
