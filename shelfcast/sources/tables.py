@@ -78,6 +78,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
 
 
+def renamed(spark: SparkSession, draft: str, path: str) -> bool:
+    """Give a finished draft its final name in one step; False where another writer was first."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if exists(spark, path):
+        return False
+    if not files.rename(hadoop(draft), hadoop(path)):
+        if exists(spark, path):
+            return False
+        raise OSError(f"could not commit {path}")
+    return True
+
+
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
     """``<name>.parquet`` if there, else ``<name>.csv`` with its date column parsed, else None."""
     base = f"{folder.rstrip('/')}/{name}"
