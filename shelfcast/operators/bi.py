@@ -180,6 +180,71 @@ def forecast_rollup(
     return resample_sum(rows, frequency, ["actual", "predicted"])
 
 
+def _ends(frequency: str):
+    return lambda date: period_end(date, frequency)
+
+
+def forecast_rollups(
+    predictions: DataFrame,
+    predicted: str,
+    frequencies: Sequence[str],
+    scopes: dict[str, int | Sequence[int] | None],
+) -> DataFrame:
+    """``forecast_rollup`` of several frequencies and scopes (one store, a list, None for all) from one scan.
+
+    The rows are aggregated once to days, with a pair of sums for each scope; what follows works on days. The
+    periods of a scope between its first and last day are laid out from the days' own aggregate, so nothing is
+    scanned or joined for them.
+    """
+    amounts = {"actual": F.col("actual"), "predicted": F.col(predicted)}
+    wanted = {
+        name: F.lit(True) if stores is None else F.col("store_id").isin([stores] if isinstance(stores, int) else list(stores))
+        for name, stores in scopes.items()
+    }
+    daily = predictions.groupBy("date").agg(
+        *[
+            F.struct(
+                F.lit(name).alias("scope"),
+                F.count_if(inside).alias("n"),
+                *[F.sum(F.when(inside, units(c).cast("decimal(19,0)"))).alias(a) for a, c in amounts.items()],
+            ).alias(f"s{k}")
+            for k, (name, inside) in enumerate(wanted.items())
+        ]
+    )
+    spans = {f: {"daily": "day", "weekly": "week", "monthly": "month", "quarterly": "quarter"}[f] for f in frequencies}
+    cells = F.array(*[F.col(f"s{k}") for k in range(len(wanted))])
+    days = daily.select("date", F.explode(cells).alias("s")).where("s.n > 0").select("date", "s.*")
+    ends = F.array(
+        *[
+            F.struct(F.lit(f).alias("frequency"), period_end(F.col("date"), f).alias("period_end"))
+            for f in frequencies
+        ]
+    )
+    periods = (
+        days.select("scope", "date", *amounts, F.explode(ends).alias("p"))
+        .groupBy("scope", "p.frequency", "p.period_end")
+        .agg(F.min("date").alias("first"), F.max("date").alias("last"), *[F.sum(a).alias(a) for a in amounts])
+    )
+    # the calendar bounds the periods of a scope
+    kept = F.struct("period_end", F.struct(*amounts).alias("sums"))
+    ranges = periods.groupBy("scope", "frequency").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.map_from_entries(F.collect_list(kept)).alias("sums")
+    )
+    spine = F.lit(None).cast("array<date>")
+    for f, unit in spans.items():
+        start = F.date_trunc(unit, F.col("first")).cast("date")
+        dates = F.transform(F.sequence(start, F.col("last"), F.expr(f"interval {_STEPS[f]}")), _ends(f))
+        spine = F.when(F.col("frequency") == f, dates).otherwise(spine)
+    rows = ranges.where("first is not null").select("frequency", "scope", "sums", F.explode(spine).alias("period_end"))
+    rows = rows.withColumn("sums", F.try_element_at("sums", "period_end"))
+    return rows.select(
+        "frequency",
+        "scope",
+        "period_end",
+        *[F.coalesce(F.col(f"sums.{a}").cast("double") / F.lit(10_000.0), F.lit(0.0)).alias(a) for a in amounts],
+    )
+
+
 def forecast_variance(predictions: DataFrame, predicted: str, stores=None) -> DataFrame:
     sums = cohort(predictions, stores).agg(
         F.coalesce(total(F.col("actual")), F.lit(0.0)).alias("total_actual"),

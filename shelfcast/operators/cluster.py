@@ -63,13 +63,29 @@ def best_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = REST
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
+def _block_pairs(packed: DataFrame, blocks: int) -> DataFrame:
+    """Each unordered pair of blocks once, as (``rows``, ``members``, ``step``); ``step`` 0 is a block with itself.
+
+    A block meets the next ``blocks // 2`` ones of the ring, so all blocks get the same number of pairs; of an
+    even ring's opposite blocks only the first half deals the pair.
+    """
+    left = packed.select(
+        F.col("block").alias("own_block"),
+        F.col("members").alias("rows"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks // 2))).alias("step"),
+    )
+    if blocks % 2 == 0:
+        left = left.where((F.col("step") < blocks // 2) | (F.col("own_block") < blocks // 2))
+    return left.withColumn("block", F.pmod(F.col("own_block") + F.col("step"), F.lit(blocks))).join(packed, "block")
+
+
 def silhouette(labelled: DataFrame, label_columns: Sequence[str]) -> dict[str, float]:
     """Exact mean silhouette (Euclidean) of one or several labellings of the same rows.
 
-    Rows are hashed into blocks of about ``BLOCK_ROWS``; each task gets one pair of blocks by an
-    equi-join on the block number, sums distances per row and cluster in numpy, and emits one row of
-    per-cluster sums. No pair of rows is ever materialised. The work is quadratic in the number of
-    stores by definition of the measure; ``squared_silhouette`` is the linear-cost alternative.
+    Rows are hashed into blocks of about ``BLOCK_ROWS``; each unordered pair of blocks meets once, by an
+    equi-join on the block number, where numpy sums the distances per row and cluster for the rows of both.
+    No pair of rows is ever materialised. The work is quadratic in the number of stores by definition of
+    the measure; ``squared_silhouette`` is the linear-cost alternative.
     """
     n = labelled.count()
     labels = list(label_columns)
@@ -82,42 +98,41 @@ def silhouette(labelled: DataFrame, label_columns: Sequence[str]) -> dict[str, f
     packed = rows.groupBy("block").agg(
         F.collect_list(F.struct("store_id", "x", "labels")).alias("members")
     )
-    left = packed.select(
-        F.col("block").alias("own_block"),
-        F.col("members").alias("rows"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    pairs = left.join(packed, "block")
+    pairs = _block_pairs(packed, blocks)
     width = 1 + max(labelled.agg(*[F.max(c).alias(c) for c in labels]).first())
     schema = "store_id bigint, labels array<int>, sums array<double>, sizes array<bigint>"
 
+    def summed(rows, gap, others):
+        """Sums of the distances of ``rows`` to the rows of each cluster among ``others``."""
+        sums = np.zeros((len(rows), len(labels) * width))
+        sizes = np.zeros(len(labels) * width, dtype="int64")
+        for j in range(len(labels)):
+            member = others[:, j][:, None] == np.arange(width)[None, :]
+            sums[:, j * width : (j + 1) * width] = gap @ member
+            sizes[j * width : (j + 1) * width] = member.sum(axis=0)
+        return pd.DataFrame(
+            {
+                "store_id": [r["store_id"] for r in rows],
+                "labels": [r["labels"] for r in rows],
+                "sums": list(sums),
+                "sizes": [sizes] * len(rows),
+            }
+        )
+
     def distances(batches):
         for batch in batches:
-            for own, others in zip(batch["rows"], batch["members"]):
+            for own, others, step in zip(batch["rows"], batch["members"], batch["step"]):
                 a = np.array([r["x"] for r in own])
                 b = np.array([r["x"] for r in others])
-                own_labels = np.array([r["labels"] for r in own])
-                other_labels = np.array([r["labels"] for r in others])
                 gap = np.zeros((len(a), len(b)))
                 for f in range(a.shape[1]):
                     gap += (a[:, f][:, None] - b[:, f][None, :]) ** 2
                 gap = np.sqrt(gap)
-                sums = np.zeros((len(a), len(labels) * width))
-                sizes = np.zeros(len(labels) * width, dtype="int64")
-                for j in range(len(labels)):
-                    member = other_labels[:, j][:, None] == np.arange(width)[None, :]
-                    sums[:, j * width : (j + 1) * width] = gap @ member
-                    sizes[j * width : (j + 1) * width] = member.sum(axis=0)
-                yield pd.DataFrame(
-                    {
-                        "store_id": [r["store_id"] for r in own],
-                        "labels": list(own_labels),
-                        "sums": list(sums),
-                        "sizes": [sizes] * len(a),
-                    }
-                )
-
-    partial = pairs.select("rows", "members").mapInPandas(distances, schema)
+                yield summed(own, gap, np.array([r["labels"] for r in others]))
+                if step:
+                    yield summed(others, gap.T, np.array([r["labels"] for r in own]))
+
+    partial = pairs.select("rows", "members", "step").mapInPandas(distances, schema)
     slots = len(labels) * width
     totals = partial.groupBy("store_id").agg(
         F.first("labels").alias("labels"),

@@ -35,9 +35,22 @@ def return_features(returns: DataFrame) -> DataFrame:
     return returns.select(*keep, *[e.alias(c) for c, e in feature_expressions().items()])
 
 
+def complete(returns: DataFrame) -> DataFrame:
+    """The rows whose features are all there. A model learns from these only; others get no score."""
+    known = F.lit(True)
+    for expression in feature_expressions().values():
+        known = known & expression.isNotNull() & ~F.isnan(expression)
+    return returns.where(F.coalesce(known, F.lit(False)))
+
+
+def _known(score: Column) -> Column:
+    """A score, or NULL where a missing feature left nothing to score."""
+    return F.when(~F.isnan(score), score)
+
+
 def fit_scaler(train: DataFrame) -> PipelineModel:
     """Standardised features as vector ``z``, fitted on the training window only; JVM stages."""
-    fitted = scaling(train.select(*[e.alias(c) for c, e in feature_expressions().items()]), RETURN_FEATURES)
+    fitted = scaling(complete(train).select(*[e.alias(c) for c, e in feature_expressions().items()]), RETURN_FEATURES)
     source = {c: (f"log1p(return_amount)" if c == "return_amount_log" else f"cast({c} as double)") for c in RETURN_FEATURES}
     parts = [
         f"({source[c]} - ({mean!r}D)) / {(spread or 1.0)!r}D as z_{i}" for i, (c, (mean, spread)) in enumerate(fitted.items())
@@ -58,7 +71,7 @@ def _without_helpers(df: DataFrame) -> DataFrame:
 def fit_autoencoder(train: DataFrame, scaler: PipelineModel, seed: int = 42, held_out: str | None = None, **overrides) -> DenseNetModel:
     """Net that reproduces its scaled input; early stopping on the latest tenth of the training window."""
     if held_out is None:
-        at = train.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at"))
+        at = complete(train).select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at"))
         cut = exact_quantiles(at, {"at": [0.9]})["at"][0]
         held_out = f"cast(unix_micros(cast(ts as timestamp)) as double) > {cut!r}D"
     settings = {"hidden": HIDDEN, "epochs": EPOCHS, "batch": 200, "patience": PATIENCE, "rate": 1e-3, **overrides}
@@ -70,7 +83,7 @@ def fit_autoencoder(train: DataFrame, scaler: PipelineModel, seed: int = 42, hel
         seed=seed,
         **settings,
     )
-    return net.fit(scaler.transform(train))
+    return net.fit(scaler.transform(complete(train)))
 
 
 def _squared_error(original: Column, rebuilt: Column) -> Column:
@@ -79,14 +92,14 @@ def _squared_error(original: Column, rebuilt: Column) -> Column:
 
 
 def autoencoder_score(model: DenseNetModel, scaler: PipelineModel, returns: DataFrame, column: str = "score") -> DataFrame:
-    """Mean squared reconstruction error per row."""
+    """Mean squared reconstruction error per row; NULL for a row with a missing feature."""
     rebuilt = model.output_array(scaler.transform(returns), "_rebuilt")
-    scored = rebuilt.withColumn(column, _squared_error(vector_to_array("z"), F.col("_rebuilt")))
+    scored = rebuilt.withColumn(column, _known(_squared_error(vector_to_array("z"), F.col("_rebuilt"))))
     return _without_helpers(scored.drop("_rebuilt"))
 
 
 def fit_pca(train: DataFrame, scaler: PipelineModel, k: int = 3) -> np.ndarray:
-    return PCA(k=k, inputCol="z", outputCol="components").fit(scaler.transform(train)).pc.toArray()
+    return PCA(k=k, inputCol="z", outputCol="components").fit(scaler.transform(complete(train))).pc.toArray()
 
 
 def pca_score(components: np.ndarray, scaler: PipelineModel, returns: DataFrame, column: str = "score") -> DataFrame:
@@ -96,7 +109,7 @@ def pca_score(components: np.ndarray, scaler: PipelineModel, returns: DataFrame,
     rebuilt = F.array(
         *[sum((z[j] * F.lit(float(projector[i, j])) for j in range(len(projector))), F.lit(0.0)) for i in range(len(projector))]
     )
-    return _without_helpers(scaler.transform(returns).withColumn(column, _squared_error(z, rebuilt)))
+    return _without_helpers(scaler.transform(returns).withColumn(column, _known(_squared_error(z, rebuilt))))
 
 
 def mean_score(scaler: PipelineModel, returns: DataFrame, column: str = "score") -> DataFrame:
@@ -112,13 +125,14 @@ def thresholds(train_scored: DataFrame, percentiles: Sequence[float] = PERCENTIL
 
 
 def flag(scored: DataFrame, p95: float, p99: float, score: str = "score") -> DataFrame:
-    """Flags strictly above the thresholds, and the severity."""
-    above95, above99 = F.col(score) > F.lit(p95), F.col(score) > F.lit(p99)
+    """Flags strictly above the thresholds, and the severity; a row without a score is not flagged but ``unscored``."""
+    none = F.lit(False)
+    above95, above99 = F.coalesce(F.col(score) > F.lit(p95), none), F.coalesce(F.col(score) > F.lit(p99), none)
     return scored.withColumns(
         {
             "flagged_p95": above95,
             "flagged_p99": above99,
-            "severity": F.when(above99, "high").when(above95, "medium").otherwise("low"),
+            "severity": F.when(F.col(score).isNull(), "unscored").when(above99, "high").when(above95, "medium").otherwise("low"),
         }
     )
 

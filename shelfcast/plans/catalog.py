@@ -296,16 +296,8 @@ def forecast_series(spark, d):
 
 @query
 def forecast_rollup(spark, d):
-    predictions = stage(_holdout_naive(spark, d), "holdout")
-    parts = []
-    for frequency in ("weekly", "monthly"):
-        for scope, wanted in (("store", 1), ("cohort", [1, 2, 3, 4, 5]), ("chain", None)):
-            rolled = bi.forecast_rollup(predictions, "sales_rolling_mean_7", frequency, wanted)
-            parts.append(rolled.select(F.lit(frequency).alias("frequency"), F.lit(scope).alias("scope"), "*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    scopes = {"store": 1, "cohort": [1, 2, 3, 4, 5], "chain": None}
+    return bi.forecast_rollups(_holdout_naive(spark, d), "sales_rolling_mean_7", ("weekly", "monthly"), scopes)
 
 
 @query

@@ -20,7 +20,7 @@ from shelfcast.operators.features import (
 from shelfcast.operators.preprocess import feature_names, fit_numeric, prepare_features
 from shelfcast.operators.profiles import store_profiles
 from shelfcast.operators.split import holdout_split, temporal_folds, train_monitor
-from shelfcast.schema import LAGS, VALIDATION_WEEKS, WINDOWS
+from shelfcast.schema import LAGS, OPTIONAL_SALES, SALES_SCHEMA, STORE_SCHEMA, VALIDATION_WEEKS, WINDOWS
 from shelfcast.session import stage
 from shelfcast.sources import registry, reports, tables
 
@@ -45,13 +45,28 @@ def build_panel(days: DataFrame, config: PreparationConfig, segmented: bool = Fa
 
 
 def prepare_from_csv(spark: SparkSession, raw_dir: str, out_dir: str, config: PreparationConfig | None = None):
-    """``train.csv`` and ``store.csv`` to the processed train and validation tables."""
+    """``train.csv`` and ``store.csv`` to the processed train and validation tables.
+
+    Rows with values that do not parse go to ``rejected`` beside them, with counts by column.
+    """
     config = config or PreparationConfig()
     for name in ("train.csv", "store.csv"):
         if not tables.exists(spark, f"{raw_dir}/{name}"):
             raise FileNotFoundError(f"{raw_dir}/{name}")
     sales = tables.read_sales(spark, f"{raw_dir}/train.csv", config.mapping)
     stores = tables.read_stores(spark, f"{raw_dir}/store.csv", config.mapping)
+    raw = {
+        "sales": (f"{raw_dir}/train.csv", SALES_SCHEMA, OPTIONAL_SALES),
+        "stores": (f"{raw_dir}/store.csv", STORE_SCHEMA, ()),
+    }
+    parts = [
+        tables.quarantined(tables.read_raw(spark, path), schema, config.mapping, optional).select(F.lit(name).alias("table"), "*")
+        for name, (path, schema, optional) in raw.items()
+    ]
+    folder = f"{out_dir.rstrip('/')}/rejected"
+    parts[0].unionByName(parts[1]).write.mode("overwrite").parquet(folder)
+    counts = spark.read.parquet(folder).groupBy("table", "column", "reason").agg(F.count("*").alias("n"))
+    reports.write_report(counts, f"{folder}_counts")
     return prepare(tables.with_stores(sales, stores), out_dir, config)
 
 

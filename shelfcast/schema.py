@@ -97,3 +97,19 @@ RETURN_FEATURES = (
     "receipt_verified",
     "customer_tenure_days",
 )
+
+_WHOLE = (
+    "year", "month", "day", "quarter", "week_of_year", "is_weekend", "is_promo", "is_zero_sales_anomaly",
+    "has_competition_open_date",
+)
+
+
+def column_type(name: str) -> T.DataType:
+    """The type of a panel or source column by its name; text where the name says nothing."""
+    headers = {SOURCE_HEADERS[f.name]: f.dataType for f in (*SALES_SCHEMA, *STORE_SCHEMA)}
+    known = {f.name: f.dataType for f in (*SALES_SCHEMA, *STORE_SCHEMA, *RETURNS_SCHEMA)}
+    if name in _WHOLE:
+        return T.IntegerType()
+    if name.startswith(("sales_lag_", "sales_rolling_", "predicted_")) or name.endswith(("_since_competition", "_since_promo2")):
+        return T.DoubleType()
+    return known.get(name, headers.get(name, T.StringType()))

@@ -58,7 +58,14 @@ def write_alert_feed(alerts: DataFrame, path: str) -> None:
     ).json(path)
 
 
-def write_panel(train: DataFrame, val: DataFrame, folder: str) -> None:
-    """Parquet of both parts."""
+def write_panel(train: DataFrame, val: DataFrame, folder: str, replace: bool = True) -> None:
+    """Parquet of both parts, by year.
+
+    With ``replace`` the tables are written anew; without, only the years that the new rows belong to.
+    """
+    mode = "static" if replace else "dynamic"
     for part, name in ((train, "train_processed"), (val, "val_processed")):
-        part.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        writer = part.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        if "year" in part.columns:
+            writer = writer.partitionBy("year")
+        writer.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -172,3 +172,23 @@ def test_frequency_stream_counts_and_drops_late_rows(spark, tmp_path):
     assert counts[(start, 1)] == 2
     assert all(customer == 1 for _, customer in counts)  # views are not counted
     assert max(counts.values()) == 2
+
+
+def test_rows_with_a_missing_feature_are_unscored_and_not_learned_from(spark):
+    returns = make_returns(spark)
+    holes = returns.withColumn(
+        "days_since_purchase", F.when(F.col("transaction_id") % 50 != 7, F.col("days_since_purchase"))
+    )
+    n = holes.where("days_since_purchase is null").count()
+    assert n > 0
+    scaler = fraud.fit_scaler(holes)
+    known = fraud.complete(holes)
+    assert known.count() == holes.count() - n
+    model = fraud.fit_autoencoder(holes, scaler, epochs=3)
+    assert not any(w != w for w in model._flat())
+    components = fraud.fit_pca(holes, scaler)
+    for scored in (fraud.autoencoder_score(model, scaler, holes), fraud.pca_score(components, scaler, holes), fraud.mean_score(scaler, holes)):
+        flagged = fraud.flag(scored, *fraud.thresholds(scored))
+        out = flagged.where("severity = 'unscored'")
+        assert out.count() == n and out.where("score is null and not flagged_p95 and not flagged_p99").count() == n
+        assert flagged.where("score is null or isnan(score)").count() == n

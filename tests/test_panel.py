@@ -169,3 +169,61 @@ def test_nan_becomes_null(spark):
     df = spark.createDataFrame(pd.DataFrame({c: [1.0, float("nan")] for c in tables.SOURCE_HEADERS.values()}))
     out = tables.canonical(df, tables.STORE_SCHEMA, tables.column_mapping())
     assert out.where("competition_distance is null").count() == 1
+
+
+def test_values_that_do_not_parse_are_quarantined(spark, tmp_path):
+    (tmp_path / "train.csv").write_text(
+        "Store,DayOfWeek,Date,Sales,Customers,Open,Promo,StateHoliday,SchoolHoliday\n"
+        "1,1,2015-01-05,100.5,9.0,1,0,0,0\n"
+        "2,2,not a day,abc,5,1,0,0,0\n"
+        "3,3,2015-01-07,7,,1,NaN,a, \n"
+        "4,4,2015-01-08,7,4.5,1,99999999999,a,0\n"
+    )
+    mapping = tables.column_mapping()
+    raw = tables.read_raw(spark, str(tmp_path / "train.csv"))
+    good = tables.read_sales(spark, str(tmp_path / "train.csv"))
+    assert [(r["store_id"], r["customers"], r["promo"], r["school_holiday"]) for r in good.orderBy("store_id").collect()] == [
+        (1, 9, 0, 0),
+        (3, None, None, None),
+    ]
+    rejects = tables.quarantined(raw, tables.SALES_SCHEMA, mapping, tables.OPTIONAL_SALES)
+    found = {(r["column"], r["value"], r["reason"]) for r in rejects.collect()}
+    assert found == {
+        ("date", "not a day", "not a date"),
+        ("sales", "abc", "not a double"),
+        ("customers", "4.5", "not a bigint"),
+        ("promo", "99999999999", "not a int"),
+    }
+    assert {r["column"]: r["n"] for r in tables.failure_counts(rejects).collect()} == dict.fromkeys(("date", "sales", "customers", "promo"), 1)
+    assert good.count() + rejects.select("row").distinct().count() == raw.count()
+    assert all('"Store":"2"' in r["row"] for r in rejects.where("value = 'abc'").collect())
+
+
+def test_csv_types_come_from_names_without_a_pass_over_the_data(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("store_id,date,sales,sales_lag_7,promo,note\n1,2020-01-02,5,,1,007\n")
+    table = tables.load_table(spark, str(tmp_path), "p")
+    assert dict(table.dtypes) == {
+        "store_id": "bigint", "date": "date", "sales": "double", "sales_lag_7": "double", "promo": "int", "note": "string",
+    }
+    row = table.first()
+    assert (row["date"], row["sales"], row["sales_lag_7"], row["note"]) == (dt.date(2020, 1, 2), 5.0, None, "007")
+
+
+def test_the_written_panel_lies_by_year_and_is_pruned(spark, tmp_path):
+    from shelfcast.sources import reports
+
+    days = [(1, dt.date(y, 6, 1), y, float(y)) for y in (2013, 2014, 2015)]
+    panel = spark.createDataFrame(days, "store_id bigint, date date, year int, sales double")
+    reports.write_panel(panel.where("year < 2015"), panel.where("year = 2015"), str(tmp_path))
+    path = str(tmp_path / "train_processed.parquet")
+    late = tables.read_panel(spark, path, first=dt.date(2014, 3, 1))
+    text = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in text and "(year#" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert [r["year"] for r in late.collect()] == [2014]
+    assert sum("year=2014" in f for f in late.inputFiles()) >= 1
+    assert tables.read_panel(spark, path, last=dt.date(2013, 12, 31)).count() == 1
+    again = panel.where("year = 2014").withColumn("sales", F.lit(1.0))
+    reports.write_panel(again, panel.limit(0), str(tmp_path), replace=False)
+    assert {r["year"]: r["sales"] for r in spark.read.parquet(path).collect()} == {2013: 2013.0, 2014: 1.0}
+    reports.write_panel(again, panel.limit(0), str(tmp_path))
+    assert spark.read.parquet(path).count() == 1

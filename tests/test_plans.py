@@ -53,6 +53,11 @@ def test_no_window_without_partition_on_fact_rows(spark, data_dir):
         assert not re.search(r"windowspecdefinition\(\w+#\d+L? ASC", plan(df))
 
 
+def test_rollups_scan_their_input_once(spark, data_dir):
+    # one scan of the rows and one for the cutoff date
+    assert plan(QUERIES["forecast_rollup"](spark, data_dir)).count("FileScan parquet") == 2
+
+
 def test_contract():
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) <= set(entry.queries())
