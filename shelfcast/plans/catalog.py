@@ -232,9 +232,9 @@ def cluster_profile(spark, d):
 def store_pca(spark, d):
     vectors = cluster.with_vector(cluster.scale_profiles(stage(_profiles(spark, d), "profiles")))
     projected, explained = cluster.pca_projection(vectors)
-    return projected.select(
-        "store_id", "pca_x", "pca_y", *[F.lit(v).alias(f"explained_{i + 1}") for i, v in enumerate(explained)]
-    )
+    shares = {f"explained_{i + 1}": F.lit(v) for i, v in enumerate(explained)}
+    out = projected.select("store_id", "pca_x", "pca_y", *[v.alias(c) for c, v in shares.items()])
+    return _rounded(out, ["pca_x", "pca_y", *shares], 6)
 
 
 # --- business views ------------------------------------------------------------------------------
@@ -363,7 +363,11 @@ def _forecast(name, **settings):
     return run
 
 
-QUERIES["ridge_forecast"] = _forecast("ridge")
+@query
+def ridge_forecast(spark, d):
+    return _rounded(_forecast("ridge")(spark, d), ["predicted_ridge"], 1)
+
+
 QUERIES["mlp_forecast"] = _forecast("mlp")
 QUERIES["gbt_forecast"] = _forecast("gbt")
 
@@ -517,7 +521,8 @@ def pca_scores(spark, d):
     log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     scaler = fraud.fit_scaler(log.where("is_train"))
     components = fraud.fit_pca(log.where("is_train"), scaler)
-    return fraud.pca_score(components, scaler, log).select("transaction_id", "is_train", "score")
+    scored = fraud.pca_score(components, scaler, log).select("transaction_id", "is_train", "score")
+    return _rounded(scored, ["score"], 6)
 
 
 @query

@@ -280,6 +280,7 @@ _LONG = "\nlong AS (" + " UNION ALL ".join(
     for c in ("sales_lag_7", "sales_rolling_mean_7", "sales_rolling_mean_30")
 ) + ")"
 
+# Labels of the drivers.
 _DRIVER_LABELS = {
     "customers": "Store Footfall (Customers)",
     "promo": "Promotional Campaign Active",
@@ -299,6 +300,203 @@ def _leaderboard(direction: str) -> str:
     )
 
 
+# --- tests with their p-values ------------------------------------------------------------------------
+
+#: Terms of the continued fraction; it has converged long before.
+_TERMS = 1500
+
+# Regularised incomplete beta function of each row of ``beta`` (test_name, x, a, b) by Lentz's method.
+_P_VALUES = f"""
+turned AS (
+  SELECT test_name, x > (a + 1) / (a + b + 2) AS other,
+         CASE WHEN x > (a + 1) / (a + b + 2) THEN 1 - x ELSE x END AS x,
+         CASE WHEN x > (a + 1) / (a + b + 2) THEN b ELSE a END AS a,
+         CASE WHEN x > (a + 1) / (a + b + 2) THEN a ELSE b END AS b
+  FROM beta),
+lentz AS (
+  SELECT test_name, 0 AS step, x, a, b, 1.0::DOUBLE AS c, 0.0::DOUBLE AS d, 1.0::DOUBLE AS v FROM turned
+  UNION ALL
+  SELECT test_name, step + 1, x, a, b, 1 + term / c, 1 / (1 + term * d), v * (1 + term / c) / (1 + term * d)
+  FROM (
+    SELECT *, CASE WHEN step = 0 THEN 1.0::DOUBLE
+                   WHEN step % 2 = 0 THEN (step // 2) * (b - step // 2) * x / ((a + step - 1) * (a + step))
+                   ELSE -(a + step // 2) * (a + b + step // 2) * x / ((a + step - 1) * (a + step)) END AS term
+    FROM lentz WHERE step < {_TERMS})),
+tails AS (
+  SELECT t.test_name, CASE WHEN other THEN 1 - i ELSE i END AS p
+  FROM turned t JOIN (
+    SELECT test_name,
+           exp(a * ln(x) + b * ln(1 - x) + lgamma(a + b) - lgamma(a) - lgamma(b) - ln(a)) * (v - 1) AS i
+    FROM lentz WHERE step = {_TERMS}) l USING (test_name))"""
+
+
+def _report() -> str:
+    """The test suite: statistics, p-values and texts."""
+    welch = """
+g AS (SELECT count(sales) FILTER (promo = 1) AS n1, count(sales) FILTER (promo = 0) AS n0,
+       avg(sales) FILTER (promo = 1) AS m1, avg(sales) FILTER (promo = 0) AS m0,
+       var_samp(sales) FILTER (promo = 1) AS v1, var_samp(sales) FILTER (promo = 0) AS v0 FROM open_days),
+w AS (SELECT *, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) AS t, (m1 - m0) / m0 * 100 AS lift,
+       pow(v1 / n1 + v0 / n0, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v0 / n0, 2) / (n0 - 1)) AS df FROM g)"""
+    parts, beta = [welch], ["SELECT 'welch' AS test_name, df / (df + t * t) AS x, df / 2 AS a, 0.5::DOUBLE AS b FROM w"]
+    for group in ("store_type", "assortment"):
+        parts.append(f"""
+g_{group} AS (SELECT {group} AS k, count(sales) AS n, avg(sales) AS m, var_samp(sales) AS v,
+       round(CAST(sum(e4) AS DOUBLE) / CAST(10000 * count(e4) AS DOUBLE), 0) AS shown
+       FROM joined WHERE {group} IS NOT NULL GROUP BY {group}),
+t_{group} AS (SELECT count(*) - 1 AS df1, CAST(sum(n) AS BIGINT) - count(*) AS df2, sum(n * m) / sum(n) AS grand,
+       array_to_string(list_sort(list(printf('%s: %.0f', k, shown))), ', ') AS means FROM g_{group}),
+a_{group} AS (SELECT df1, df2, any_value(means) AS means,
+       (sum(n * pow(m - grand, 2)) / df1) / (sum(v * (n - 1)) / df2) AS f FROM g_{group}, t_{group} GROUP BY df1, df2)""")
+        beta.append(
+            f"SELECT '{group}', df2 / (df2 + df1 * f), CAST(df2 AS DOUBLE) / 2, CAST(df1 AS DOUBLE) / 2 FROM a_{group}"
+        )
+    parts += ["\nbeta AS (" + "\nUNION ALL ".join(beta) + ")", _P_VALUES]
+    row = "SELECT 0.05::DOUBLE AS alpha, (SELECT count(*) FROM open_days) AS n_rows_tested"
+    rows = [
+        f"""{row}, 'welch_ttest_promo_vs_non_promo' AS test_name, round(t, 4) AS statistic, round(p, 6) AS p_value,
+p < 0.05 AS significant, CASE WHEN p < 0.05 THEN printf('Promotion days sell %.1f%% differently (promo mean %.0f, other mean %.0f, p=%.2e): significant, H0 rejected.', lift, m1, m0, p)
+ELSE printf('Promotion mean %.0f and other mean %.0f do not differ significantly (p=%.4f): H0 kept.', m1, m0, p) END AS interpretation
+FROM w, tails WHERE test_name = 'welch'"""
+    ]
+    for group in ("store_type", "assortment"):
+        rows.append(
+            f"""{row}, 'anova_{group}', round(f, 4), round(p, 6), p < 0.05,
+CASE WHEN p < 0.05 THEN printf('Sales differ between the {group} groups (F=%.4f, p=%.2e; means %s): significant, H0 rejected.', f, p, means)
+ELSE printf('Sales do not differ significantly between the {group} groups (F=%.4f, p=%.4f; means %s): H0 kept.', f, p, means) END
+FROM a_{group}, tails WHERE test_name = '{group}'"""
+        )
+    return _with(*_FULL, *parts).replace("WITH", "WITH RECURSIVE", 1) + "\nUNION ALL ".join(rows)
+
+
+# --- principal components -------------------------------------------------------------------------------
+
+
+def _eigen(matrix: str, size: int, wanted: int, steps: int = 3000) -> list[str]:
+    """Tables e0, e1, ...: eigenvalue ``l`` and vector ``v0..`` of the symmetric matrix ``m{i}{j}`` in ``matrix``.
+
+    Power iteration; each next one on the matrix without the components found.
+    """
+    span, parts = range(size), []
+    for k in range(wanted):
+        cells = {
+            (i, j): f"m.m{min(i, j)}{max(i, j)}" + "".join(f" - e{q}.l * e{q}.v{i} * e{q}.v{j}" for q in range(k))
+            for i in span
+            for j in span
+            if i <= j
+        }
+        from_ = ", ".join([f"{matrix} m", *[f"e{q}" for q in range(k)]])
+        named = ", ".join(f"{x} AS c{i}{j}" for (i, j), x in cells.items())
+        times = [" + ".join(f"c{min(i, j)}{max(i, j)} * v{j}" for j in span) for i in span]
+        norm = "sqrt(" + " + ".join(f"u{i} * u{i}" for i in span) + ")"
+        columns = ", ".join(f"c{i}{j}" for i, j in cells)
+        parts += [
+            f"\nd{k} AS (SELECT {named} FROM {from_})",
+            f"\np{k} AS (SELECT 0 AS step, {', '.join(f'{1 + i * 0.37}::DOUBLE AS v{i}' for i in span)}, {columns} FROM d{k}"
+            f"\nUNION ALL SELECT step + 1, {', '.join(f'u{i} / {norm}' for i in span)}, {columns}"
+            f" FROM (SELECT *, {', '.join(f'{t} AS u{i}' for i, t in enumerate(times))} FROM p{k} WHERE step < {steps}))",
+            f"\ne{k} AS (SELECT {', '.join(f'v{i}' for i in span)},"
+            f" {' + '.join(f'v{i} * ({t})' for i, t in enumerate(times))} AS l FROM p{k} WHERE step = {steps})",
+        ]
+    return parts
+
+
+def _covariance(table: str, columns: list[str], condition: str = "true") -> str:
+    cells = [
+        f"covar_samp({a}, {b}) AS m{i}{j}" for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j
+    ]
+    return f"\ncov AS (SELECT {', '.join(cells)} FROM {table} WHERE {condition})"
+
+
+def _store_pca() -> str:
+    columns = list(PROFILE_FEATURES)
+    span = range(len(columns))
+    # the largest loading of a component is positive
+    sign = [
+        f"CASE list_max([{', '.join(f'abs(e{k}.v{i})' for i in span)}]) "
+        + " ".join(f"WHEN abs(e{k}.v{i}) THEN sign(e{k}.v{i})" for i in span)
+        + " END"
+        for k in range(2)
+    ]
+    score = [f"round(({' + '.join(f's.{c} * e{k}.v{i}' for i, c in enumerate(columns))}) * ({sign[k]}), 6)" for k in range(2)]
+    total = " + ".join(f"cov.m{i}{i}" for i in span)
+    return _with(*_STORE_PROFILES, _SCALED, _covariance("scaled", columns), *_eigen("cov", len(columns), 2)).replace(
+        "WITH", "WITH RECURSIVE", 1
+    ) + (
+        f"SELECT store_id, {score[0]} AS pca_x, {score[1]} AS pca_y, round(e0.l / ({total}), 6) AS explained_1,"
+        f" round(e1.l / ({total}), 6) AS explained_2 FROM scaled s, cov, e0, e1"
+    )
+
+
+def _pca_scores() -> str:
+    size = len(_Z)
+    z = (
+        "\nstats AS (SELECT "
+        + ", ".join(f"avg({e}) AS a{i}, stddev_pop({e}) AS s{i}" for i, e in enumerate(_Z.values()))
+        + " FROM windowed WHERE is_train),\nz AS (SELECT transaction_id, is_train, "
+        + ", ".join(f"({e} - a{i}) / s{i} AS z{i}" for i, e in enumerate(_Z.values()))
+        + " FROM windowed, stats)"
+    )
+    parts = [_RETURNS, _SPLIT, z, _covariance("z", [f"z{i}" for i in range(size)], "is_train"), *_eigen("cov", size, 3)]
+    shares = [" + ".join(f"z{i} * e{k}.v{i}" for i in range(size)) for k in range(3)]
+    rest = [f"pow(z{i} - ({' + '.join(f'({shares[k]}) * e{k}.v{i}' for k in range(3))}), 2)" for i in range(size)]
+    return _with(*parts).replace("WITH", "WITH RECURSIVE", 1) + (
+        f"SELECT transaction_id, is_train, round(({' + '.join(rest)}) / {size}.0, 6) AS score FROM z, e0, e1, e2"
+    )
+
+
+# --- ridge ----------------------------------------------------------------------------------------------
+
+_LABELS = {"state_holiday": "0abc", "store_type": "abcd", "assortment": "abc"}
+
+
+def _ridge(alpha: float = 100.0) -> str:
+    """Predictions for the holdout: normal equations of the centred columns, solved by Gauss-Jordan elimination."""
+    numeric = [f"(coalesce(CAST({c} AS DOUBLE), d{i}) - a{i}) / s{i}" for i, c in enumerate(NUMERIC)]
+    hot = [f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c, labels in _LABELS.items() for v in labels]
+    size = len(numeric) + len(hot)
+    span = range(size)
+    filled = [f"coalesce(CAST({c} AS DOUBLE), d{i})" for i, c in enumerate(NUMERIC)]
+    gram = [
+        "["
+        + ", ".join(
+            f"covar_pop(x{min(i, j)}, x{max(i, j)}) * count(*)" + (f" + {alpha}" if i == j else "") for j in span
+        )
+        + f", covar_pop(x{i}, sales) * count(*)]"
+        for i in span
+    ]
+    # one step clears one column: the pivot's row is scaled, and taken from all others
+    cleared = (
+        "list_transform(m, lambda r, i: CASE WHEN i = step + 1"
+        " THEN list_transform(m[step + 1], lambda x: x / m[step + 1][step + 1])"
+        " ELSE list_transform(r, lambda x, j: x - r[step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)"
+    )
+    parts = [
+        *_FEATURES,
+        "\ntrain AS (SELECT * FROM features WHERE is_zero_sales_anomaly = 0 AND date <= (SELECT max(date) - 42 FROM features))",
+        "\nval AS (SELECT * FROM features WHERE date > (SELECT max(date) - 42 FROM features))",
+        "\nmid AS (SELECT " + ", ".join(f"CAST(median({c}) AS DOUBLE) AS d{i}" for i, c in enumerate(NUMERIC)) + " FROM train)",
+        "\nfit AS (SELECT "
+        + ", ".join(f"any_value(d{i}) AS d{i}, avg({x}) AS a{i}, CASE WHEN stddev_pop({x}) > 0 THEN stddev_pop({x}) ELSE 1 END AS s{i}" for i, x in enumerate(filled))
+        + " FROM train, mid)",
+        *[
+            f"\n{name}_x AS MATERIALIZED (SELECT store_id AS store, date AS day, sales, "
+            + ", ".join(f"{x} AS x{i}" for i, x in enumerate([*numeric, *hot]))
+            + f" FROM {name}, fit)"
+            for name in ("train", "val")
+        ],
+        f"\nsystem AS (SELECT [{', '.join(gram)}] AS m FROM train_x)",
+        f"\nsolved AS (SELECT 0 AS step, m FROM system UNION ALL SELECT step + 1, {cleared} FROM solved WHERE step < {size})",
+        f"\nweights AS (SELECT list_transform(m, lambda r: r[{size + 1}]) AS w FROM solved WHERE step = {size})",
+        f"\ncentre AS (SELECT avg(sales) - ({' + '.join(f'any_value(w[{i + 1}]) * avg(x{i})' for i in span)}) AS b FROM train_x, weights)",
+    ]
+    value = " + ".join(f"w[{i + 1}] * x{i}" for i in span)
+    return _with(*parts).replace("WITH", "WITH RECURSIVE", 1) + (
+        f"SELECT store AS store_id, day AS date, sales AS actual, round(greatest(b + {value}, 0.0), 1) AS predicted_ridge"
+        " FROM val_x, weights, centre"
+    )
+
+
 ORACLES: dict[str, str] = {
     "panel_base": _with(_SALES, _STORES)
     + "SELECT sales.* EXCLUDE (e4), stores.* EXCLUDE (store_id) FROM sales LEFT JOIN stores USING (store_id)",
@@ -336,6 +534,10 @@ round(pow(v1 / n1 + v0 / n0, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v0 / n0, 2)
 round((m1 - m0) / m0 * 100, 6) AS lift_pct FROM g""",
     "anova_storetype": _anova("store_type"),
     "anova_assortment": _anova("assortment"),
+    "test_report": _report(),
+    "store_pca": _store_pca(),
+    "pca_scores": _pca_scores(),
+    "ridge_forecast": _ridge(),
     "group_means": _with(*_FULL)
     + """SELECT store_type, round(CAST(sum(e4) AS DOUBLE) / CAST(10000 * count(e4) AS DOUBLE), 0) AS mean_sales
 FROM joined GROUP BY store_type""",
