@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import bi, clean, cluster, evaluate, features, fraud, models, preprocess, profiles, split, stats
 from shelfcast.plans import pipelines
-from shelfcast.schema import LAGS, PROFILE_FEATURES, WINDOWS
+from shelfcast.schema import LAGS, OPTIONAL_SALES, PROFILE_FEATURES, SALES_SCHEMA, SOURCE_HEADERS, WINDOWS
 from shelfcast.session import stage
-from shelfcast.sources import registry, tpch
+from shelfcast.sources import registry, tables, tpch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,29 @@ def panel_base(spark, d):
     return tpch.panel(spark, d)
 
 
+def _as_source(spark, d):
+    """The sales as a source file has them: its headers, all text, and some values that cannot be read."""
+    days = tpch.sales(spark, d)
+    broken = F.pmod(F.datediff("date", F.lit("1992-01-01").cast("date")) * 7 + F.col("store_id"), F.lit(211))
+    text = {c: F.col(c).cast("string") for c in days.columns}
+    text["customers"] = F.when(broken == 3, "n/a").when(broken == 4, "4.5").when(broken == 5, " ").otherwise(text["customers"])
+    text["sales"] = F.when(broken == 6, "12,50").when(broken == 7, "NaN").otherwise(text["sales"])
+    text["promo"] = F.when(broken == 3, "yes").otherwise(F.concat("promo", F.lit(".0")))
+    return days.select(*[text[c].alias(SOURCE_HEADERS[c]) for c in days.columns])
+
+
+@query
+def ingest_sales(spark, d):
+    return tables.canonical(_as_source(spark, d), SALES_SCHEMA, tables.column_mapping(), OPTIONAL_SALES)
+
+
+@query
+def ingest_rejects(spark, d):
+    source = _as_source(spark, d)
+    rejects = tables.quarantined(source, SALES_SCHEMA, tables.column_mapping(), OPTIONAL_SALES)
+    return tables.failure_counts(rejects)
+
+
 @query
 def clean_open(spark, d):
     days = clean.open_days(tpch.sales(spark, d))

@@ -497,7 +497,18 @@ def _ridge(alpha: float = 100.0) -> str:
     )
 
 
+# Rows with values that cannot be read, by the rule of the query.
+_BROKEN = """
+marked AS (SELECT *, (date_diff('day', DATE '1992-01-01', date) * 7 + store_id) % 211 AS broken FROM sales)"""
+
 ORACLES: dict[str, str] = {
+    "ingest_sales": _with(_SALES, _BROKEN)
+    + """SELECT store_id, date, CASE WHEN broken <> 7 THEN sales END AS sales, CASE WHEN broken <> 5 THEN customers END AS customers,
+open_flag, promo, day_of_week, state_holiday, school_holiday FROM marked WHERE broken NOT IN (3, 4, 6)""",
+    "ingest_rejects": _with(_SALES, _BROKEN)
+    + """SELECT 'customers' AS "column", 'not a bigint' AS reason, count(*) AS n FROM marked WHERE broken IN (3, 4)
+UNION ALL SELECT 'promo', 'not a int', count(*) FROM marked WHERE broken = 3
+UNION ALL SELECT 'sales', 'not a double', count(*) FROM marked WHERE broken = 6""",
     "panel_base": _with(_SALES, _STORES)
     + "SELECT sales.* EXCLUDE (e4), stores.* EXCLUDE (store_id) FROM sales LEFT JOIN stores USING (store_id)",
     "clean_open": _with(*_DAYS) + "SELECT store_id, date, sales, is_zero_sales_anomaly FROM open_days",
