@@ -414,6 +414,28 @@ def cv_metrics(spark, d):
     )
 
 
+@query
+def cv_ridge(spark, d):
+    """The folds of ``cv_metrics`` for the model that has a closed form."""
+    train, _, numeric, categorical = _training(spark, d)
+    folded = stage(split.temporal_folds(train), "folds")
+    rows = models.validate_models(["ridge"], folded, numeric, categorical)
+    out = spark.createDataFrame(
+        [(r["model_name"], r["fold"], r["rmspe"], r["mae"], r["rmse"], r["r2"]) for r in rows],
+        "model_name string, fold int, rmspe double, mae double, rmse double, r2 double",
+    )
+    return _rounded(_rounded(out, ["rmspe", "r2"], 4), ["mae", "rmse"], 2)
+
+
+@query
+def ridge_ranking(spark, d):
+    """The fitted ridge against the naive forecasts on the holdout, scored and ranked as the job does."""
+    train, val, numeric, categorical = _training(spark, d)
+    fitted, _ = models.fit_pipeline("ridge", train, numeric, categorical)
+    wide = models.predict(fitted, val.withColumn("actual", F.col("sales")), "predicted_ridge")
+    return evaluate.leaderboard_report(evaluate.evaluate_models(wide, {"ridge": "predicted_ridge", **{c: c for c in NAIVE}}))
+
+
 @query
 def feature_importance(spark, d):
     train, _, numeric, categorical = _training(spark, d)

@@ -450,8 +450,11 @@ def _pca_scores() -> str:
 _LABELS = {"state_holiday": "0abc", "store_type": "abcd", "assortment": "abc"}
 
 
-def _ridge(alpha: float = 100.0) -> str:
-    """Predictions for the holdout: normal equations of the centred columns, solved by Gauss-Jordan elimination."""
+def _ridge_parts(name: str, train: str, val: str, alpha: float = 100.0) -> list[str]:
+    """Tables up to ``{name}_scored`` (store, day, actual, p): ridge fitted on ``train`` and applied to ``val``.
+
+    Normal equations of the centred columns, solved by Gauss-Jordan elimination.
+    """
     numeric = [f"(coalesce(CAST({c} AS DOUBLE), d{i}) - a{i}) / s{i}" for i, c in enumerate(NUMERIC)]
     hot = [f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c, labels in _LABELS.items() for v in labels]
     size = len(numeric) + len(hot)
@@ -471,32 +474,79 @@ def _ridge(alpha: float = 100.0) -> str:
         " THEN list_transform(m[step + 1], lambda x: x / m[step + 1][step + 1])"
         " ELSE list_transform(r, lambda x, j: x - r[step + 1] * m[step + 1][j] / m[step + 1][step + 1]) END)"
     )
-    parts = [
-        *_FEATURES,
-        "\ntrain AS (SELECT * FROM features WHERE is_zero_sales_anomaly = 0 AND date <= (SELECT max(date) - 42 FROM features))",
-        "\nval AS (SELECT * FROM features WHERE date > (SELECT max(date) - 42 FROM features))",
-        "\nmid AS (SELECT " + ", ".join(f"CAST(median({c}) AS DOUBLE) AS d{i}" for i, c in enumerate(NUMERIC)) + " FROM train)",
-        "\nfit AS (SELECT "
-        + ", ".join(f"any_value(d{i}) AS d{i}, avg({x}) AS a{i}, CASE WHEN stddev_pop({x}) > 0 THEN stddev_pop({x}) ELSE 1 END AS s{i}" for i, x in enumerate(filled))
-        + " FROM train, mid)",
+    medians = ", ".join(f"CAST(median({c}) AS DOUBLE) AS d{i}" for i, c in enumerate(NUMERIC))
+    moments = ", ".join(
+        f"any_value(d{i}) AS d{i}, avg({x}) AS a{i}, CASE WHEN stddev_pop({x}) > 0 THEN stddev_pop({x}) ELSE 1 END AS s{i}"
+        for i, x in enumerate(filled)
+    )
+    columns = ", ".join(f"{x} AS x{i}" for i, x in enumerate([*numeric, *hot]))
+    centre = " + ".join(f"any_value(w[{i + 1}]) * avg(x{i})" for i in span)
+    value = " + ".join(f"w[{i + 1}] * x{i}" for i in span)
+    return [
+        f"\n{name}_train AS ({train})",
+        f"\n{name}_val AS ({val})",
+        f"\n{name}_mid AS (SELECT {medians} FROM {name}_train)",
+        f"\n{name}_fit AS (SELECT {moments} FROM {name}_train, {name}_mid)",
         *[
-            f"\n{name}_x AS MATERIALIZED (SELECT store_id AS store, date AS day, sales, "
-            + ", ".join(f"{x} AS x{i}" for i, x in enumerate([*numeric, *hot]))
-            + f" FROM {name}, fit)"
-            for name in ("train", "val")
+            f"\n{name}_{part}_x AS MATERIALIZED (SELECT store_id AS store, date AS day, sales, {columns}"
+            f" FROM {name}_{part}, {name}_fit)"
+            for part in ("train", "val")
         ],
-        f"\nsystem AS (SELECT [{', '.join(gram)}] AS m FROM train_x)",
-        f"\nsolved AS (SELECT 0 AS step, m FROM system UNION ALL SELECT step + 1, {cleared} FROM solved WHERE step < {size})",
-        f"\nweights AS (SELECT list_transform(m, lambda r: r[{size + 1}]) AS w FROM solved WHERE step = {size})",
-        f"\ncentre AS (SELECT avg(sales) - ({' + '.join(f'any_value(w[{i + 1}]) * avg(x{i})' for i in span)}) AS b FROM train_x, weights)",
+        f"\n{name}_system AS (SELECT [{', '.join(gram)}] AS m FROM {name}_train_x)",
+        f"\n{name}_solved AS (SELECT 0 AS step, m FROM {name}_system"
+        f" UNION ALL SELECT step + 1, {cleared} FROM {name}_solved WHERE step < {size})",
+        f"\n{name}_weights AS (SELECT list_transform(m, lambda r: r[{size + 1}]) AS w FROM {name}_solved WHERE step = {size})",
+        f"\n{name}_centre AS (SELECT avg(sales) - ({centre}) AS b FROM {name}_train_x, {name}_weights)",
+        f"\n{name}_scored AS (SELECT store, day, sales AS actual, greatest(b + {value}, 0.0) AS p"
+        f" FROM {name}_val_x, {name}_weights, {name}_centre)",
     ]
-    value = " + ".join(f"w[{i + 1}] * x{i}" for i in span)
-    return _with(*parts).replace("WITH", "WITH RECURSIVE", 1) + (
-        f"SELECT store AS store_id, day AS date, sales AS actual, round(greatest(b + {value}, 0.0), 1) AS predicted_ridge"
-        " FROM val_x, weights, centre"
+
+
+_LEARNED = "SELECT * FROM features WHERE is_zero_sales_anomaly = 0 AND date <= (SELECT max(date) - 42 FROM features)"
+_HELD = "SELECT * FROM features WHERE date > (SELECT max(date) - 42 FROM features)"
+
+
+def _recursive(*parts: str) -> str:
+    return _with(*parts).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _ridge() -> str:
+    return _recursive(*_FEATURES, *_ridge_parts("r", _LEARNED, _HELD)) + (
+        "SELECT store AS store_id, day AS date, actual, round(p, 1) AS predicted_ridge FROM r_scored"
+    )
+
+
+def _ridge_report() -> str:
+    """Rank 1 of the ridge and the naive forecasts on the holdout, with the figures of all of them."""
+    long = "\nlong AS (SELECT 'ridge' AS model_name, actual, p FROM r_scored UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{c}', sales, greatest({c}, 0.0) FROM features WHERE {c} IS NOT NULL"
+        " AND date > (SELECT max(date) - 42 FROM features)"
+        for c in ("sales_lag_7", "sales_rolling_mean_7", "sales_rolling_mean_30")
+    ) + ")"
+    metrics = f"\nm AS (SELECT model_name, {_metrics()} FROM long GROUP BY model_name)"
+    return _recursive(*_FEATURES, *_ridge_parts("r", _LEARNED, _HELD), long, metrics) + (
+        "SELECT CAST(row_number() OVER (ORDER BY rmspe, model_name) AS INTEGER) AS rank, model_name, round(rmspe, 4) AS rmspe,"
+        " round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(r2, 4) AS r2, rows_excluded_zero_sales,"
+        " row_number() OVER (ORDER BY rmspe, model_name) = 1 AS is_best FROM m"
     )
 
 
+def _cv_ridge() -> str:
+    """Temporal cross-validation: folds by row number in (date, store), each fitted on all rows before it."""
+    ranked = f"""
+ranked AS MATERIALIZED (
+  SELECT *, CASE WHEN i < n - 3 * (n // 4) THEN 0 WHEN i < n - 2 * (n // 4) THEN 1 WHEN i < n - (n // 4) THEN 2 ELSE 3 END AS fold
+  FROM (SELECT *, row_number() OVER (ORDER BY date, store_id) - 1 AS i, count(*) OVER () AS n FROM ({_LEARNED})))"""
+    parts, rows = [], []
+    for k in (1, 2, 3):
+        parts += _ridge_parts(f"f{k}", f"SELECT * FROM ranked WHERE fold < {k}", f"SELECT * FROM ranked WHERE fold = {k}")
+        rows.append(
+            f"SELECT 'ridge' AS model_name, CAST({k} AS INTEGER) AS fold, round(rmspe, 4) AS rmspe, round(mae, 2) AS mae,"
+            f" round(rmse, 2) AS rmse, round(r2, 4) AS r2 FROM (SELECT {_metrics()} FROM f{k}_scored)"
+        )
+    return _recursive(*_FEATURES, ranked, *parts) + "\nUNION ALL ".join(rows)
+
+
 # Rows with values that cannot be read, by the rule of the query.
 _BROKEN = """
 marked AS (SELECT *, (date_diff('day', DATE '1992-01-01', date) * 7 + store_id) % 211 AS broken FROM sales)"""
@@ -549,6 +599,8 @@ round((m1 - m0) / m0 * 100, 6) AS lift_pct FROM g""",
     "store_pca": _store_pca(),
     "pca_scores": _pca_scores(),
     "ridge_forecast": _ridge(),
+    "ridge_ranking": _ridge_report(),
+    "cv_ridge": _cv_ridge(),
     "group_means": _with(*_FULL)
     + """SELECT store_type, round(CAST(sum(e4) AS DOUBLE) / CAST(10000 * count(e4) AS DOUBLE), 0) AS mean_sales
 FROM joined GROUP BY store_type""",
