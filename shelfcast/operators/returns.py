@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
@@ -13,19 +13,22 @@ DAY_MICROS = 86_400_000_000
 HOUR, SECOND = 3_600_000_000, 1_000_000
 
 
-def _before(level: DataFrame, group: list[str], order: str, suffix: str) -> DataFrame:
-    """Per row of ``level`` what earlier rows of its group add up to: count delta and latest purchase."""
+def _before(level: DataFrame, group: list[str], order: str, suffix: str, *more: Column) -> DataFrame:
+    """Per row of ``level`` what earlier rows of its group add up to: count delta and latest purchase; and ``more``."""
     earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return level.select(
         *group,
         order,
         F.coalesce(F.sum("delta").over(earlier), F.lit(0)).alias(f"open_{suffix}"),
         F.max("bought_at").over(earlier).alias(f"bought_{suffix}"),
+        *more,
     )
 
 
 def _rolled(level: DataFrame, keys: list[str]) -> DataFrame:
-    return level.groupBy(*keys).agg(F.sum("delta").alias("delta"), F.max("bought_at").alias("bought_at"))
+    return level.groupBy(*keys).agg(
+        F.sum("delta").alias("delta"), F.max("bought_at").alias("bought_at"), F.min("first_at").alias("first_at")
+    )
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,17 +61,19 @@ def derive_history(activity: DataFrame) -> DataFrame:
         F.explode(F.when(F.col("is_return"), F.array(moment, leave)).otherwise(F.array(moment))).alias("e"),
     )
     instants = entries.groupBy("customer_id", F.col("e.at").alias("at")).agg(
-        F.sum("e.delta").alias("delta"), F.max(F.when(F.col("e.is_row"), F.col("bought"))).alias("bought_at")
+        F.sum("e.delta").alias("delta"),
+        F.max(F.when(F.col("e.is_row"), F.col("bought"))).alias("bought_at"),
+        F.min(F.when(F.col("e.is_row"), F.col("e.at"))).alias("first_at"),
     )
     instants = instants.withColumns({"second": F.floor(F.col("at") / SECOND), "hour": F.floor(F.col("at") / HOUR)})
     seconds = _rolled(instants, ["customer_id", "hour", "second"])
     hours = _rolled(seconds, ["customer_id", "hour"])
-    joined_at = activity.groupBy("customer_id").agg(F.min(at).alias("joined_at"))
+    # the customer's first instant comes along with the hours, whose number the calendar bounds
+    joined_at = F.min("first_at").over(Window.partitionBy("customer_id")).alias("joined_at")
 
     history = _before(instants, ["customer_id", "hour", "second"], "at", "instant")
     history = _join(history, _before(seconds, ["customer_id", "hour"], "second", "second"), ["customer_id", "hour", "second"])
-    history = _join(history, _before(hours, ["customer_id"], "hour", "hour"), ["customer_id", "hour"])
-    history = _join(history, joined_at, ["customer_id"])
+    history = _join(history, _before(hours, ["customer_id"], "hour", "hour", joined_at), ["customer_id", "hour"])
     # later levels hold later purchases: the nearest level with one decides
     bought = F.coalesce("bought_instant", "bought_second", "bought_hour")
     history = history.select(
