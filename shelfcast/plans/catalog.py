@@ -251,6 +251,13 @@ def cluster_profile(spark, d):
     return cluster.cluster_profile(cluster.segment_stores(stage(_profiles(spark, d), "profiles"))[0])
 
 
+@query
+def profile_by_label(spark, d):
+    """The segment report for a labelling that needs no fit, so it has an SQL twin."""
+    labelled = _profiles(spark, d).withColumn("cluster", (F.col("store_id") % 4).cast("int"))
+    return cluster.cluster_profile(stage(labelled, "labelled"))
+
+
 @query
 def store_pca(spark, d):
     vectors = cluster.with_vector(cluster.scale_profiles(stage(_profiles(spark, d), "profiles")))
@@ -436,6 +443,14 @@ def ridge_ranking(spark, d):
     return evaluate.leaderboard_report(evaluate.evaluate_models(wide, {"ridge": "predicted_ridge", **{c: c for c in NAIVE}}))
 
 
+@query
+def ridge_importance(spark, d):
+    train, _, numeric, categorical = _training(spark, d)
+    fitted, _ = models.fit_pipeline("ridge", train, numeric, categorical)
+    rows = models.importances(fitted, numeric, categorical)
+    return _rounded(spark.createDataFrame(rows, "feature string, importance double"), ["importance"], 4)
+
+
 @query
 def feature_importance(spark, d):
     train, _, numeric, categorical = _training(spark, d)
@@ -521,12 +536,30 @@ def flag_quality(spark, d):
     return fraud.flag_quality(flagged, "flagged_p95").unionByName(fraud.flag_quality(flagged, "flagged_p99"))
 
 
-def _baseline(spark, d):
-    """Monitor window scored against the training means: deterministic, so it has an SQL twin."""
+def _baseline_result(spark, d):
+    """The log scored against the training means: deterministic, so it has an SQL twin."""
     log = split.train_monitor(stage(tpch.returns(spark, d), "returns"))
     scored = fraud.mean_score(fraud.fit_scaler(log.where("is_train")), log)
     p95, p99 = fraud.thresholds(scored.where("is_train"))
-    return fraud.flag(scored.where("not is_train"), p95, p99), p95, p99
+    return {"scored": scored, "flagged": fraud.flag(scored.where("not is_train"), p95, p99), "p95": p95, "p99": p99}
+
+
+def _baseline(spark, d):
+    result = _baseline_result(spark, d)
+    return result["flagged"], result["p95"], result["p99"]
+
+
+@query
+def baseline_summary(spark, d):
+    """The summary of the return job, with the scores of the baseline."""
+    quality = ("precision", "recall", "f1", "n_flagged", "n_actual")
+    return pipelines.fraud_summary(_baseline_result(spark, d)).select(
+        "n_train",
+        "n_monitor",
+        "threshold_p95",
+        "threshold_p99",
+        *[F.col(f"eval_{p}.{c}").alias(f"{c}_{p}") for p in ("p95", "p99") for c in quality],
+    )
 
 
 @query

@@ -547,6 +547,48 @@ ranked AS MATERIALIZED (
     return _recursive(*_FEATURES, ranked, *parts) + "\nUNION ALL ".join(rows)
 
 
+def _ridge_importance() -> str:
+    names = ", ".join(f"'{c}'" for c in [*NUMERIC, *[f"{c}_{v}" for c, labels in _LABELS.items() for v in labels]])
+    return _recursive(*_FEATURES, *_ridge_parts("r", _LEARNED, _HELD)) + (
+        f"SELECT feature, round(abs(v), 4) AS importance FROM (SELECT unnest([{names}]) AS feature, unnest(w) AS v FROM r_weights)"
+        " ORDER BY abs(v) DESC, feature LIMIT 25"
+    )
+
+
+def _profile_by_label() -> str:
+    means = ", ".join(f"round(avg({c}), 2) AS {c}" for c in PROFILE_FEATURES)
+    # the names follow from the rounded means of a segment and the means of all stores
+    return _with(
+        *_STORE_PROFILES,
+        f"\ns AS (SELECT CAST(store_id % 4 AS INTEGER) AS cluster, count(*) AS stores, {means} FROM profiles GROUP BY 1)",
+        "\no AS (SELECT avg(avg_daily_sales) AS sales, avg(sales_cv) AS cv, avg(promo_lift_pct) AS lift FROM profiles)",
+    ) + (
+        "SELECT s.*, CASE WHEN avg_daily_sales >= sales * 1.25 THEN 'High-volume leaders'"
+        " WHEN promo_lift_pct >= lift * 1.25 THEN 'Promotion-driven stores' WHEN sales_cv >= cv * 1.1 THEN 'Volatile stores'"
+        " ELSE 'Steady core stores' END AS segment FROM s, o"
+    )
+
+
+def _baseline_summary() -> str:
+    cells = []
+    for p in ("p95", "p99"):
+        flag, counts = f"flagged_{p}", {"tp": f"count(*) FILTER (label = 1 AND flagged_{p})"}
+        counts |= {"flagged": f"count(*) FILTER ({flag})", "actual": "count(*) FILTER (label = 1)"}
+        cells += [
+            f"round(coalesce({counts['tp']} / nullif({counts['flagged']}, 0), 0.0::DOUBLE), 4) AS precision_{p}",
+            f"round(coalesce({counts['tp']} / nullif({counts['actual']}, 0), 0.0::DOUBLE), 4) AS recall_{p}",
+            f"round(coalesce(2 * {counts['tp']} / nullif({counts['flagged']} + {counts['actual']}, 0), 0.0::DOUBLE), 4) AS f1_{p}",
+            f"{counts['flagged']} AS n_flagged_{p}",
+            f"{counts['actual']} AS n_actual_{p}",
+        ]
+    return _with(*_FRAUD) + (
+        "SELECT (SELECT count(*) FROM scored WHERE is_train) AS n_train, count(*) AS n_monitor,"
+        " (SELECT round(p95, 5) FROM limits) AS threshold_p95, (SELECT round(p99, 5) FROM limits) AS threshold_p99, "
+        + ", ".join(cells)
+        + " FROM flagged"
+    )
+
+
 # Rows with values that cannot be read, by the rule of the query.
 _BROKEN = """
 marked AS (SELECT *, (date_diff('day', DATE '1992-01-01', date) * 7 + store_id) % 211 AS broken FROM sales)"""
@@ -600,6 +642,9 @@ round((m1 - m0) / m0 * 100, 6) AS lift_pct FROM g""",
     "pca_scores": _pca_scores(),
     "ridge_forecast": _ridge(),
     "ridge_ranking": _ridge_report(),
+    "ridge_importance": _ridge_importance(),
+    "profile_by_label": _profile_by_label(),
+    "baseline_summary": _baseline_summary(),
     "cv_ridge": _cv_ridge(),
     "group_means": _with(*_FULL)
     + """SELECT store_type, round(CAST(sum(e4) AS DOUBLE) / CAST(10000 * count(e4) AS DOUBLE), 0) AS mean_sales
