@@ -10,7 +10,9 @@ short for the seeds: they are hashed whole and count as found where a document h
 
 The benchmark's hashes are broadcast only if there are at most ``BROADCAST_HASHES`` (24 bytes each);
 a larger set is joined by shuffle. Hits are reduced to distinct alignments before anything is moved, so
-a passage that very many documents share costs one row for each.
+a passage that very many documents share costs one row for each. Texts are moved only where they may have a hit:
+the hits are written once, and a bitmap of their texts' hashes, ``FILTER_BITS`` in size whatever the input,
+is broadcast to drop all others before the exchange.
 
 Defined results: null and empty texts have no tokens and no hits; items with equal tokens are one item, under
 the smallest ``item_id``; repeated rows of documents are all found; an empty table on either side gives an
@@ -22,13 +24,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import fresh
+from .staging import fresh, staged
 
 MASKS = ("1101011", "1110011", "111011")  # 1: the token counts, 0: it is ignored
 MIN_TOKENS = 8
 WINDOW = 25
 AGREEMENT = 80
 BROADCAST_HASHES = 1_000_000
+FILTER_BITS = 1 << 25
+
 SPAN = max(map(len, MASKS))
 # Thai, Lao, Myanmar, Khmer, Tai, kana, Bopomofo, Han, Yi: scripts without blanks between words.
 UNSPACED = (
@@ -74,6 +78,34 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     return listed.where(F.size("item") > 0).groupBy("item").agg(F.min("item_id").alias("item_id"))
 
 
+def _bit(text_hash: Column) -> tuple[Column, Column]:
+    """The word of the bitmap that a hash falls into, and its bit there."""
+    low = text_hash.bitwiseAND(F.lit(FILTER_BITS - 1))
+    return F.shiftright(low, 6).cast("int"), low.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _maybe(frame: DataFrame, text_hash: Column, bitmap: DataFrame) -> tuple[DataFrame, str]:
+    """``frame`` and, in a column of its own, whether the hash's bit is set; the name of that column.
+
+    The bitmap's size is bounded whatever the input, so it is broadcast.
+    """
+    columns = frame.columns
+    word, bit, own, bits, maybe = (fresh(x, columns) for x in ("hash_word", "hash_bit", "own_word", "own_bits", "maybe"))
+    at, which = _bit(text_hash)
+    named = bitmap.select(F.col("bit_word").alias(own), F.col("bits").alias(bits))
+    joined = frame.withColumns({word: at, bit: which}).join(F.broadcast(named), F.col(word) == F.col(own), "left")
+    is_set = F.expr(f"coalesce(getbit(`{bits}`, `{bit}`), 0) = 1")
+    return joined.withColumn(maybe, is_set).drop(word, bit, own, bits), maybe
+
+
+def _bitmap(hashes: DataFrame, column: str) -> DataFrame:
+    """(``bit_word``, ``bits``): a bitmap of the hashes, at most ``FILTER_BITS`` / 64 rows."""
+    word, bit = _bit(F.col(column))
+    marked = hashes.select(word.alias("bit_word"), bit.alias("bit"))
+    marked = marked.select("bit_word", F.expr("shiftleft(1L, bit)").alias("bits"))
+    return marked.groupBy("bit_word").agg(F.bit_or("bits").alias("bits"))
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -84,7 +116,10 @@ def find(
     window: int = WINDOW,
     agreement: int = AGREEMENT,
 ) -> DataFrame:
-    """(``doc_id``, ``text_hash``, ``item_id``, ``compared``, ``agreeing``) of each passage found."""
+    """(``doc_id``, ``text_hash``, ``item_id``, ``compared``, ``agreeing``) of each passage found.
+
+    Rows of equal ``doc_id`` and text give one row for an item.
+    """
     items = _items(benchmark, item_id, item_text)
     is_short = F.size("item") < MIN_TOKENS
     lengths = sorted(r[0] for r in items.where(is_short).select(F.size("item")).distinct().collect())
@@ -110,8 +145,10 @@ def find(
         .agg(F.min(diagonal).alias("diagonal"))
     )
     hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "item_id", "diagonal")
+    hits = staged(hits, "hits")
     same = (F.col("text_hash") == F.col("hit_hash")) & F.col("doc_id").eqNullSafe(F.col("hit_id"))
-    aligned = keyed.join(hits, same).join(items, "item_id")
+    marked, maybe = _maybe(keyed, F.col("text_hash"), _bitmap(hits, "hit_hash"))
+    aligned = marked.where(maybe).join(hits, same).join(items, "item_id")
     # arrays are bound by lambdas over one-element arrays: they are made once for each alignment
     compared = f"IF(size(item) < {MIN_TOKENS}, size(item), least(size(item), {window}))"
     agree = "transform(item, (t, k) -> IF(k + diagonal >= 0 AND get(doc, k + diagonal) <=> t, 1, 0))"
@@ -136,10 +173,18 @@ def find(
     )
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents in which no passage was found, with the columns of ``docs``."""
-    found = find(docs, benchmark, doc_id, text, **options)
+def remove(
+    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 1, **options
+) -> DataFrame:
+    """The documents in which no passage of at least ``least`` tokens was found, with the columns of ``docs``.
+
+    ``least`` is for benchmarks with items of a word or two, which stand in countless documents that have nothing
+    to do with them. Documents whose text has no bit among those with a passage stay without being moved.
+    """
+    found = find(docs, benchmark, doc_id, text, **options).where(F.col("compared") >= least)
     bad_id, bad_hash = fresh("bad_id", docs.columns), fresh("bad_hash", docs.columns)
-    bad = found.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
-    same = (F.xxhash64(docs[text]) == F.col(bad_hash)) & docs[doc_id].eqNullSafe(F.col(bad_id))
-    return docs.join(bad, same, "left_anti")
+    bad = staged(found.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct(), "passages")
+    marked, maybe = _maybe(docs, F.xxhash64(docs[text]), _bitmap(bad, bad_hash))
+    same = (F.xxhash64(F.col(text)) == F.col(bad_hash)) & F.col(doc_id).eqNullSafe(F.col(bad_id))
+    checked = marked.where(F.col(maybe)).join(bad, same, "left_anti")
+    return marked.where(~F.col(maybe)).unionByName(checked).select(*docs.columns)
