@@ -14,12 +14,15 @@ loses no component. Every link is verified by counting bits before it is kept.
 Variants are dealt to buckets by a linear code: the XOR of the numbers of the set bits (six bits, more
 for large inputs). Since the code of a variant follows from that of its fingerprint, a task gets the
 fingerprints of which some variant lies in its bucket and expands the variants there; what is shuffled
-is 64 entries for a fingerprint instead of 2,080. Only distinct fingerprints take part, so groups of
-copies, however large, are one entry. A bucket holds at most about ``BUCKET_ROWS`` fingerprints.
+is an entry for each bucket that a fingerprint reaches: 64 while there are 64 buckets, and at most one for each of
+its variants (64 of an even fingerprint, 2,080 of an odd one) however many buckets there are. Only distinct
+fingerprints take part, so groups of copies, however large, are one entry. There are as many buckets as
+keep each at about ``BUCKET_ROWS`` fingerprints (``extra_bits``).
 
 Defined results: null and empty texts have the fingerprint zero, which links like any other; repeated
 rows share their class; a null ``doc_id`` is never a class's name unless the class has no other; an
-empty table gives an empty result; other columns pass through.
+empty table gives an empty result; texts of any length are read whole; ``components`` returns its three
+columns, ``keep_one`` all columns of its input, however they are called.
 """
 
 from __future__ import annotations
@@ -185,13 +188,24 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return np.array([(x, find(x)) for x in parent if find(x) != x], np.int64).reshape(-1, 2)
 
 
+def extra_bits(rows: int, bucket_rows: int) -> int:
+    """Bits of the code beyond six, so that a bucket holds about ``bucket_rows`` of ``rows`` fingerprints.
+
+    Half of the fingerprints reach 64 of the buckets, the other half one for each of up to 2,080 variants.
+    """
+    extra = 0
+    while extra < 40 and rows * (64 + min(2080, 64 << extra)) > bucket_rows * (128 << extra):
+        extra += 1
+    return extra
+
+
 def links(prints: DataFrame, name: str = "fingerprint", rows: int | None = None) -> DataFrame:
     """Links (``a``, ``b``) whose components are those of all pairs within ``RADIUS``.
 
     ``prints`` holds distinct fingerprints; ``rows`` is their number, counted where not given.
     """
     rows = prints.count() if rows is None else rows
-    extra = max(0, int(rows // BUCKET_ROWS).bit_length())
+    extra = extra_bits(rows, BUCKET_ROWS)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _codes(extra)
