@@ -9,8 +9,9 @@ _LINE_FAILS = r"""
       OR len(regexp_extract_all(x, '[#*$%&|<>{}\[\]~^=]{2,}')) * 100 > len(string_split(x, ' ')) * 30
       OR (len(string_split(x, ' ')) < 5
           AND NOT regexp_matches(x, '[.!?…。！？:;]["''”’»)\]]*[\x20\x09-\x0D]*$'))
+      OR (len(string_split(x, ' ')) >= 60 AND NOT regexp_matches(x, '[.!?…。！？:;,]'))
       OR (len(string_split(x, ' ')) <= 20 AND regexp_matches(lower(x),
-          'javascript|cookie policy|accept cookies|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|read more|licensed under|page not found'))
+          'javascript|cookie policy|accept cookies|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|read more|licensed under|page not found|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|cookies akzeptieren|hier klicken|seite nicht gefunden|tous droits réservés|politique de confidentialité|mentions légales|accepter les cookies|cliquez ici|lire la suite|todos los derechos reservados|política de privacidad|aviso legal|aceptar cookies|haga clic aquí|página no encontrada'))
 """
 
 QUALITY = rf"""

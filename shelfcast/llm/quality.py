@@ -1,12 +1,12 @@
 """Line-first quality rules, in DataFrame functions only.
 
-Every line of a text is judged by itself: does it look like prose (punctuation), like a row of links
-(navigation) or like site text (boilerplate)? Lines that fail are removed. A document that loses more
+Every line of a text is judged by itself: does it look like prose (punctuation: a short line ends like a sentence, a
+long one has some sign in it), like a row of links (navigation) or like site text (boilerplate)? Lines that fail are removed. A document that loses more
 than ``max_loss`` of its words, or fails the base rule on words and repetition, is rejected.
 
 Defined results: a null or empty text has no words and fails the base rule; text without words on any
-line keeps no line; equal rows are judged alike; other columns pass through unchanged. The names of
-helper columns avoid those of the input.
+line keeps no line; texts of any length are read whole; equal rows are judged alike; an empty table gives an empty
+result; other columns pass through unchanged. The names of helper columns avoid those of the input.
 """
 
 from __future__ import annotations
@@ -28,12 +28,15 @@ MAX_REPEAT_PERCENT = 50
 MAX_SEPARATORS = 20
 MAX_SYMBOL_WORDS = 30
 MIN_UNPUNCTUATED_WORDS = 5
+MAX_UNPUNCTUATED_WORDS = 60
 MAX_BOILERPLATE_WORDS = 20
 MAX_LOSS = 50
 SEPARATORS = ("|", "»", "«", "›", "‹", "•", "·", "→")
 SEPARATOR = "[|»«›‹•·→]+"
 SYMBOL_WORD = r"[#*$%&|<>{}\[\]~^=]{2,}"
+PUNCTUATION = "[.!?…。！？:;,]"
 SENTENCE_END = r"[.!?…。！？:;][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+# Phrases of site text in English, German, French and Spanish.
 BOILERPLATE = (
     "javascript",
     "cookie policy",
@@ -47,6 +50,24 @@ BOILERPLATE = (
     "read more",
     "licensed under",
     "page not found",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "nutzungsbedingungen",
+    "cookies akzeptieren",
+    "hier klicken",
+    "seite nicht gefunden",
+    "tous droits réservés",
+    "politique de confidentialité",
+    "mentions légales",
+    "accepter les cookies",
+    "cliquez ici",
+    "lire la suite",
+    "todos los derechos reservados",
+    "política de privacidad",
+    "aviso legal",
+    "aceptar cookies",
+    "haga clic aquí",
+    "página no encontrada",
 )
 
 
@@ -104,8 +125,9 @@ def line_passes(line: Column) -> Column:
     )
     symbols = F.regexp_count(line, F.lit(SYMBOL_WORD)) * 100 > count * MAX_SYMBOL_WORDS
     fragment = (count < MIN_UNPUNCTUATED_WORDS) & ~line.rlike(SENTENCE_END)
+    heap = (count >= MAX_UNPUNCTUATED_WORDS) & ~line.rlike(PUNCTUATION)
     boilerplate = (count <= MAX_BOILERPLATE_WORDS) & _contains_any(F.lower(line), BOILERPLATE)
-    return ~(navigation | symbols | fragment | boilerplate) | ~line.rlike(r"[^\x20\x09-\x0D]")
+    return ~(navigation | symbols | fragment | heap | boilerplate) | ~line.rlike(r"[^\x20\x09-\x0D]")
 
 
 def judge(docs: DataFrame, text: str = "text", max_loss: int = MAX_LOSS) -> DataFrame:
