@@ -180,16 +180,57 @@ def test_packing_round_trip(spark, odd, empty, tmp_path):
     assert packing.pack_documents(empty, path, public_tokenizers.PATTERN).count() == 0
 
 
-def test_packing_query(spark, odd, tables):
-    got = queries.QUERIES["op6_packing"](spark, tables(documents=odd)).collect()
+def check_packing(spark, folder, rows):
+    """Every digest of the query, made again from the segments that it places."""
+    got = queries.QUERIES["op6_packing"](spark, folder).collect()
     encoding = packing.load_encoding(queries.TOKEN_RANKS, public_tokenizers.PATTERN)
-    expected = Counter()
-    for doc_id, text, *_ in odd_rows():
+    sha = lambda array: hashlib.sha256(array.tobytes()).hexdigest()
+    expected, by_digest = Counter(), {}
+    for doc_id, text in rows:
         ids = np.array([*encoding.encode_ordinary(text or ""), packing.END_ID], "<u2")
         for k, at in enumerate(range(0, len(ids), packing.WIDTH)):
             part = ids[at : at + packing.WIDTH]
-            expected[doc_id, k, len(part), hashlib.sha256(part.tobytes()).hexdigest()] += 1
+            expected[doc_id, k, len(part), sha(part)] += 1
+            by_digest[sha(part)] = part
     assert Counter((r.doc_id, r.segment, r.n_tokens, r.ids_sha256) for r in got) == expected
+    inside = defaultdict(list)
+    for r in got:
+        inside[r.pack_group, r.pack_row].append(r)
+    for members in inside.values():
+        ids, positions, lengths = np.full(packing.WIDTH, packing.END_ID, "<u2"), np.zeros(packing.WIDTH, "<u4"), [0]
+        for r in sorted(members, key=lambda r: r.start):
+            assert r.start == lengths[-1]
+            lengths.append(r.start + r.n_tokens)
+            ids[r.start : lengths[-1]] = by_digest[r.ids_sha256]
+            positions[r.start : lengths[-1]] = np.arange(r.n_tokens)
+        digests = (sha(ids), sha(np.array(lengths, "<i4")), sha(positions))
+        assert {(r.row_sha256, r.cu_seqlens_sha256, r.positions_sha256) for r in members} == {digests}
+    return got
+
+
+def test_packing_query(spark, odd, tables):
+    check_packing(spark, tables(documents=odd), [(r[0], r[1]) for r in odd_rows()])
+
+
+def test_packing_of_whole_table(spark, data_dir):
+    rows = [tuple(r) for r in queries.table(spark, data_dir, "documents").select("doc_id", "text").collect()]
+    got = check_packing(spark, data_dir, rows)
+    tokens = sum(r.n_tokens for r in got)
+    packed = len({(r.pack_group, r.pack_row) for r in got})
+    groups = len({r.pack_group for r in got})
+    assert packed <= tokens // packing.WIDTH + 1 + groups + 0.02 * packed
+
+
+def test_equal_and_empty_rows_spread_over_groups(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    for text, kind in ((PROSE, "long"), (None, "string")):
+        docs = spark.range(3000).select(F.lit(None).cast(kind).alias("doc_id"), F.lit(text).cast("string").alias("text"), F.lit(1).alias("ids"))
+        size = 3000 * (packing.ROW_BYTES + len((text or "").encode()))
+        rows = packing.pack_documents(docs, path, public_tokenizers.PATTERN, group_bytes=size // 27 + 1)
+        counts = Counter()
+        for r in rows.select("pack_group", F.size("segments").alias("n")).collect():
+            counts[r.pack_group] += r.n
+        assert len(counts) == 27 and sum(counts.values()) == 3000 and max(counts.values()) < 200
 
 
 def test_pipeline(spark, odd, tables):

@@ -120,6 +120,51 @@ def test_lattice_scores(spark, odd, empty, hot):
         assert lattice.score(empty, queries.PIECE_MODEL).count() == 0
 
 
+def brute_texts(rows):
+    """log10 probability of each text: every segmentation of every word, by the file's scores, summed up."""
+    names, weights, bytes_at = lattice.vocabulary(queries.PIECE_MODEL)
+    weight = {p: math.exp(w) for p, w in zip(names, weights, strict=True)}
+
+    def mass(word):
+        if not word:
+            return 1.0
+        out = sum(weight[word[:k]] * mass(word[k:]) for k in range(1, len(word) + 1) if word[:k] in weight)
+        if word[0] not in weight:
+            out += math.prod(math.exp(weights[bytes_at[b]]) for b in word[0].encode()) * mass(word[1:])
+        return out
+
+    words = [[w.decode() for w in WORD.findall((t or "").encode().lower())] for _, t in rows]
+    train = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for i, _ in rows]
+    ends = sum(train)
+    end = (ends + 0.5) / (sum(len(ws) for ws, t in zip(words, train, strict=True) if t) + ends + 1)
+    return [math.log10(end) + sum(math.log10((1 - end) * mass("▁" + w)) for w in ws) for ws in words]
+
+
+def test_lattice_scores_whole_texts(spark):
+    rng = random.Random(2)
+    parts = ["the", "town", "Ñu", "ab", "x①", "日本", "ing", "qzx", "re", "don't", "-"]
+    texts = [None, "", " ", *(" ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(rng.randint(1, 9))) for _ in range(60))]
+    rows = list(enumerate(texts))
+    got = lattice.score(spark.createDataFrame(rows, "doc_id long, text string"), queries.PIECE_MODEL).collect()
+    assert [r.score for r in sorted(got, key=lambda r: r.doc_id)] == pytest.approx(brute_texts(rows), rel=1e-9)
+
+
+def test_lattice_options_learn_from_the_training_words(spark):
+    docs = spark.createDataFrame([(i, "qzxqzx town " * 5) for i in range(40)], "doc_id long, text string")
+    plain, learned, edges = (
+        lattice.score(docs, queries.PIECE_MODEL, **o).agg(F.avg("score")).first()[0]
+        for o in ({}, {"iterations": 2}, {"whole_words": True})
+    )
+    assert plain < learned < 0 and plain < edges < 0
+
+
+def test_hot_words_are_bounded_by_bytes_too(spark):
+    rows = [("a" * 50_000, 0, 90, -1.0, -1.0), ("b", 3, 80, -1.0, -2.0), ("c", 0, 40, -1.0, -2.0), ("d", 1, 1, -1.0, -2.0)]
+    scored = spark.createDataFrame(rows, "word string, c long, times long, base double, model double")
+    assert set(lattice._hot_words(scored, 10)) == {b"a" * 50_000, b"b", b"c"}
+    assert lattice._hot_words(scored, 10, 1000) == {} and len(lattice._hot_words(scored, 2)) == 2
+
+
 def test_lattice_scores_do_not_depend_on_the_split_of_words(spark, odd):
     runs = [lattice.score(odd, queries.PIECE_MODEL, hot_words=n).collect() for n in (0, 1000)]
     assert [sorted(round(r.score, 6) for r in run) for run in runs][0] == sorted(round(r.score, 6) for r in runs[1])
@@ -170,3 +215,14 @@ def test_language_of_documents(spark, odd, empty, tables):
     none = language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
     assert language.identify(empty).count() == 0
+
+
+def test_language_needs_a_letter():
+    assert [language.has_letter(t) for t in ("½ ²³ Ⅷ ① _ 12", "١٢", "", "12 é", "ª", "日", "ǅ")] == [False] * 3 + [True] * 4
+
+
+def test_a_normalising_model_is_refused(monkeypatch):
+    real = sentencepiece.SentencePieceProcessor.normalize
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "normalize", lambda self, t, **k: real(self, t).replace("ﬁ", "fi"))
+    with pytest.raises(ValueError, match="normalises"):
+        pieces.PieceModel(queries.PIECE_MODEL)
