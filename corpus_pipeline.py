@@ -2,6 +2,11 @@
 
 Each stage takes the documents that the one before it left. The first three remove documents (the first
 also the failed lines of those it keeps), the fourth blanks out secrets, the last encodes what is left.
+
+Defined results: null and empty texts fail the quality rules, so nothing of them is left; of repeated rows one
+stays; a null ``doc_id`` yields to any other in its group; ``lang`` and ``source`` may be null and pass through; texts
+of any length are read whole; extra columns, however they are called, pass the first four stages and are left
+out by the last; empty documents or an empty benchmark give an empty result or remove nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +17,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm import decontaminate, pieces, quality, queries, secret_scan, simhash
 from shelfcast.llm.staging import staged
 
+#: A benchmark item of fewer tokens is no passage: it would remove every document that holds that word.
+LEAST_PASSAGE = 3
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without their failed lines."""
@@ -24,8 +32,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    return decontaminate.remove(docs, queries.table(spark, sf_dir, "benchmark"))
+    """Documents without a passage of the benchmark of at least ``LEAST_PASSAGE`` tokens."""
+    return decontaminate.remove(docs, queries.table(spark, sf_dir, "benchmark"), least=LEAST_PASSAGE)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
