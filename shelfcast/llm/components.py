@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from .staging import staged
 
 
+#: A key is hot if it has more than 1 in HOT_SHARE of the rows, so fewer than HOT_SHARE keys are.
+HOT_SHARE = 1000
+
+
+def split_join(frame: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``frame`` with ``table``, which has one row for each key and, as ``n``, how many rows share it.
+
+    ``total`` is at least the sum of all ``n``. Hot keys are few, so their rows of ``table`` are broadcast and
+    the rows that share them stay where they are; all others meet in a shuffle.
+    """
+    is_hot = F.col("n") * HOT_SHARE > total
+    hot, cold = F.broadcast(table.where(is_hot).drop("n")), table.where(~is_hot).drop("n")
+    rest = frame.join(hot.select(key), key, "left_anti").join(cold, key)
+    return frame.join(hot, key).unionByName(rest)
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count("*").alias("n"),
@@ -22,9 +38,9 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Large-star: each node hands its larger neighbours to its smallest one. Small-star: each node hands
     its smaller neighbours and itself to the smallest. Rounds repeat until the links no longer change,
-    which is when all of them lead to roots. Sums of a node are combined before the shuffle; the joins
-    are plain ones that adaptive execution splits where a node has very many links. Each round is
-    written to the shared folder.
+    which is when all of them lead to roots. Sums of a node are combined before the shuffle; the links of
+    a node that has very many do not meet in one task (``split_join``). Each round is written to the
+    shared folder.
     """
     edges = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star"
@@ -32,11 +48,12 @@ def connected(edges: DataFrame) -> DataFrame:
     last = _signature(edges)
     while last[0]:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        least = least.select("a", F.least("a", "m").alias("m"), "n")
+        large = split_join(both.where("b > a"), least, "a", 2 * last[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = staged(large, "star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = split_join(large, least, "a", 2 * last[0]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "star")
         now = _signature(edges)
         if now == last:

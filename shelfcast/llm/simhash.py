@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .components import connected
+from .components import HOT_SHARE, connected, split_join
 from .staging import fresh, slices, staged
 
 SEED = 42
@@ -45,7 +45,6 @@ SHINGLE = 3
 RADIUS = 3
 BUCKET_ROWS = 1 << 21
 BLOCK = 1 << 15
-HOT_SHARE = 1000
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -263,8 +262,8 @@ def class_ids(distinct: DataFrame, name: str) -> DataFrame:
     """(fingerprint, ``component_id``): the smallest ``least`` of all fingerprints of the class."""
     found = staged(connected(staged(links(distinct, name), "links")), "roots")
     members = distinct.join(found.withColumnRenamed("node", name), name).select(name, "root", "least")
-    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = members.join(least, "root").select(name, "component_id")
+    least = members.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    linked = split_join(members, least, "root", found.count()).select(name, "component_id")
     return distinct.join(linked, name, "left").select(
         name, F.coalesce("component_id", "least").alias("component_id")
     )

@@ -77,6 +77,26 @@ def test_links_by_spark(spark, monkeypatch, bucket_rows):
     assert [root.get(int(x), int(x)) for x in ordered] == expected
 
 
+@pytest.mark.parametrize("share", [2, 30, 10**6])
+def test_components_with_hot_centres(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "HOT_SHARE", share)
+    rng = np.random.default_rng(share)
+    edges = [(0, int(x)) for x in rng.integers(1, 400, 300)] + [(500 + i % 7, 900 + i) for i in range(200)]
+    edges += [(int(a), int(b)) for a, b in rng.integers(2000, 2300, (120, 2))]
+    root = {r.node: r.root for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    assert {n: r for n, r in root.items()} == {n: find(n) for a, b in edges if a != b for n in (a, b)}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100)], "a long, b long")
     got = {r.node: r.root for r in components.connected(links).collect()}

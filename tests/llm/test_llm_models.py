@@ -195,6 +195,43 @@ def test_windows_cover_every_byte_once():
     assert together == pytest.approx(np.array(alone), abs=1e-5)
 
 
+def naive_shares(net, text):
+    """The mean distribution of a text, one byte after the other, in plain loops over each window."""
+    h = net.hidden
+    p = {k: v.astype(float).tolist() for k, v in net.p.items()}
+    sigmoid = lambda a: 1 / (1 + math.exp(-a))
+    dot = lambda row, state: sum(a * b for a, b in zip(row, state, strict=True))
+
+    def states(side, window):
+        state, out = [0.0] * h, []
+        for byte in window:
+            x, u = [row[byte] for row in p[f"x{side}"]], [dot(row, state) for row in p[f"u{side}"]]
+            reset = [sigmoid(x[k] + u[k]) for k in range(h)]
+            update = [sigmoid(x[h + k] + u[h + k]) for k in range(h)]
+            candidate = [math.tanh(x[2 * h + k] + reset[k] * u[2 * h + k]) for k in range(h)]
+            state = [(1 - z) * s + z * c for z, s, c in zip(update, state, candidate, strict=True)]
+            out.append(state)
+        return out
+
+    total = [0.0] * len(p["c"])
+    for at in range(0, len(text), language.SPAN):
+        first = max(0, at - language.CONTEXT)
+        window = text[first : at + language.SPAN + language.CONTEXT]
+        ahead, back = states("f", window), states("b", window[::-1])[::-1]
+        for k in range(at - first, min(at + language.SPAN, len(text)) - first):
+            logits = [dot(f, ahead[k]) + dot(b, back[k]) + c[0] for f, b, c in zip(p["vf"], p["vb"], p["c"], strict=True)]
+            weights = [math.exp(x) for x in logits]
+            total = [t + w / sum(weights) for t, w in zip(total, weights, strict=True)]
+    return [t / len(text) for t in total]
+
+
+def test_shares_are_those_of_plain_loops():
+    rng = random.Random(4)
+    net = language.ByteGru(3, 4, seed=7)
+    texts = [bytes(rng.choices(range(256), k=n)) for n in (1, 3, 40, 256, 257, 300, 700)] + [PROSE.encode(), SPANISH.encode()]
+    assert net.shares(texts) == pytest.approx(np.array([naive_shares(net, t) for t in texts]), abs=2e-5)
+
+
 def test_language_of_documents(spark, odd, empty, tables):
     english, spanish = re.split(r"(?<=[.,]) ", PROSE), re.split(r"(?<=[.,]) ", SPANISH)
     rng = random.Random(5)
