@@ -1,10 +1,9 @@
 """Exact order statistics without a global sort and without gathering a column in one task.
 
 Spark's ``percentile`` and ``median`` keep every distinct value in one buffer, and a rank over an
-unpartitioned window runs in one task. Here a wanted rank is first bracketed (by a mergeable sketch of
-bounded size, by counts of coarse cells, or by the column's range), the bracket is verified by exact
-counts, cut into bins that are counted with map-side aggregation, and only the bin that holds the rank
-is cut again. Rounds read the small table of bracketed values where there is one, and bring at most
+unpartitioned window runs in one task. Here a wanted rank is first bracketed (by exact counts of cells or
+by the column's range), the bracket is cut into bins that are counted with map-side aggregation, and only
+the bin that holds the rank is cut again. Rounds read the small table of bracketed values where there is one, and bring at most
 ``BINS`` counters per wanted rank to the driver.
 """
 
@@ -15,7 +14,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +23,8 @@ from shelfcast.session import stage
 BINS = 4096
 # Generated code stays small enough to be compiled; each part scans its own columns only.
 _COLUMNS_PER_SCAN = 8
-# Sketch accuracy: a bracket holds about 6 / ACCURACY of the rows.
-ACCURACY = 1_000
+# Logarithmic cells for each unit of the natural logarithm: a cell is 0.02 % wide.
+ACCURACY = 4_096
 
 
 class _Search:
@@ -36,6 +35,8 @@ class _Search:
         self.low, self.high = low, high
         self.below = below  # rows smaller than ``low``
         self.value = low if low == high else None
+        self.n = 0  # rows between ``low`` and ``high``, once counted
+        self.top = 0
 
 
 def _bin(column: Column, integral: bool, low, high) -> Column:
@@ -107,7 +108,7 @@ def _locate(df: DataFrame, searches: list[_Search], weight: str | None = None) -
 
 
 class Spread(NamedTuple):
-    """What two scans tell of a column: values, mean and population variance, exact quantiles; NULL left out."""
+    """What two scans tell of a column: values, mean and population variance, exact quantiles; NULL and NaN left out."""
 
     n: int
     mean: float | None
@@ -115,140 +116,167 @@ class Spread(NamedTuple):
     quantiles: list[float | None]
 
 
+def _cell(value: Column) -> Column:
+    """Number of the logarithmic cell of a double, in the values' order; any range needs at most some 3,000 x ACCURACY."""
+    size = F.floor(F.least(F.ln(F.abs(value)), F.lit(720.0)) * ACCURACY) + F.lit(746 * ACCURACY)
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
+
+
+def _table(per_place: Sequence[Sequence[int]]) -> Column:
+    """Lists of numbers by place, as one literal."""
+    return F.array(*[F.array(*map(F.lit, sorted(numbers))).cast("array<bigint>") for numbers in per_place])
+
+
+def _at(per_place: Column, place: str) -> Column:
+    return F.element_at(per_place, F.col(place) + 1)
+
+
+def _long(values: DataFrame) -> DataFrame:
+    """(``place``, ``value``) of all columns, so that one small piece of generated code serves any number of them."""
+    return values.select(F.posexplode(F.array(*values.columns)).alias("place", "value")).where("value is not null")
+
+
+def _inside(cells: DataFrame, ranges: list[tuple]) -> DataFrame:
+    """(``range``, ``value``) of the values in (place, low, high) ``ranges``, numbered as listed."""
+    owners: list[list[int]] = [[] for _ in range(1 + max(place for place, _, _ in ranges))]
+    for r, (place, _, _) in enumerate(ranges):
+        owners[place].append(r)
+    near = cells.where(F.col("place") < len(owners)).select(
+        F.explode(_at(_table(owners), "place")).alias("range"), "value"
+    )
+    near = near.select(F.col("range").cast("int"), "value")
+    lows, highs = (F.array(*[F.lit(r[side]) for r in ranges]) for side in (1, 2))
+    return near.where(F.col("value").between(_at(lows, "range"), _at(highs, "range")))
+
+
+def _choose(search: _Search, rows: list) -> None:
+    """Narrow to the one of ``rows`` (n, low, high; in order) that holds the wanted rank."""
+    for row in rows:
+        if search.below + row["n"] > search.rank:
+            break
+        search.below += row["n"]
+    search.low, search.high, search.n = row["low"], row["high"], row["n"]
+    if search.low == search.high or search.below == search.rank:
+        search.value = search.low
+    elif search.below + search.n - 1 == search.rank:
+        search.value = search.high
+
+
+def _narrow(cells: DataFrame, searches: list[_Search]) -> None:
+    """One round over (``place``, ``value``): equal bins of each open range, counted before the shuffle."""
+    ranges = sorted({(s.column, s.low, s.high) for s in searches})
+    lows = F.array(*[F.lit(low) for _, low, _ in ranges])
+    # a range of a cell's size never overflows; the least width is the step of the smallest doubles
+    widths = F.array(*[F.lit(max((high - low) / BINS, math.ulp(0.0))) for _, low, high in ranges])
+    bin_ = F.floor((F.col("value") - _at(lows, "range")) / _at(widths, "range"))
+    counted = (
+        _inside(cells, ranges)
+        .groupBy("range", F.least(bin_, F.lit(BINS)).alias("bin"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .collect()
+    )
+    per_range: dict[int, list] = {}
+    for row in sorted(counted, key=lambda r: r["bin"]):
+        per_range.setdefault(row["range"], []).append(row)
+    number = {r: i for i, r in enumerate(ranges)}
+    for s in searches:
+        _choose(s, per_range[number[(s.column, s.low, s.high)]])
+
+
 def spreads(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, Spread]:
     """Moments and exact quantiles (linear interpolation) of many numeric columns in two scans of ``df``.
 
-    The first scan has the moments and a sketch that brackets every quantile. The second one counts the
-    rows at and below the brackets' ends, as observed metrics, while it hands on the values strictly
-    between them in long form: a value that holds many rows is an end of its bracket, so these are under
-    1 % of the rows. All further rounds read only that small table.
+    The first scan counts logarithmic cells, with their moments; they need no range beforehand, are summed
+    before the shuffle, and give the exact rank of every cell. The second scan hands on the values of the
+    cells that hold a wanted rank; all further rounds read only that small table. A cell that holds over 1 %
+    of a column (values close together, far from zero) is first cut by a scan of its own for all such columns.
     """
     columns = list(wanted)
-    margin = 3 / ACCURACY
-    brackets = {c: [min(max(p + side, 0.0), 1.0) for p in wanted[c] for side in (-margin, margin)] for c in columns}
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    row = values.agg(
-        *[
-            F.struct(
-                F.count(f"v{i}").alias("n"),
-                F.min(f"v{i}").alias("low"),
-                F.max(f"v{i}").alias("high"),
-                F.avg(f"v{i}").alias("mean"),
-                F.var_pop(f"v{i}").alias("variance"),
-                *([F.percentile_approx(f"v{i}", brackets[c], ACCURACY).alias("near")] if brackets[c] else []),
-            ).alias(f"s{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    near = [
-        (i, p, row[f"s{i}"]["near"][2 * j], row[f"s{i}"]["near"][2 * j + 1])
-        for i, c in enumerate(columns)
-        if row[f"s{i}"]["n"]
-        for j, p in enumerate(wanted[c])
-    ]
-    ranks = _ranks_in_brackets(values, near, {i: row[f"s{i}"] for i in range(len(columns))}) if near else {}
+    number = [F.col(c).cast("double") for c in columns]
+    values = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(number)])
+    value = F.col("value")
+    counted = _long(values).groupBy("place", _cell(value).alias("cell"))
+    cells = stage(
+        counted.agg(
+            F.count("*").alias("n"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+            F.avg(value).alias("mean"),
+            F.var_pop(value).alias("variance"),
+        ),
+        "cells",
+    ).withColumn("top", F.floor(F.col("cell") / ACCURACY))
+    summed = cells.groupBy("place", "top").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum(F.col("n") * F.col("mean")).alias("total")
+    )
+    tops: dict[int, list] = {i: [] for i in range(len(columns))}
+    for row in sorted(summed.collect(), key=lambda r: r["top"]):
+        tops[row["place"]].append(row)
+    ns = [sum(r["n"] for r in tops[i]) for i in tops]
+    means = [sum(r["total"] for r in tops[i]) / n if n else 0.0 for i, n in enumerate(ns)]
+    off = F.col("mean") - _at(F.array(*map(F.lit, means)), "place")
+    squares = cells.groupBy("place").agg(F.sum(F.col("n") * (F.col("variance") + off * off)).alias("squares"))
+    variances = {r["place"]: r["squares"] / ns[r["place"]] for r in squares.collect()}
+
+    positions = {(i, p): (ns[i] - 1) * p for i, c in enumerate(columns) if ns[i] for p in wanted[c]}
+    ranks = sorted({(i, r) for (i, _), at in positions.items() for r in (math.floor(at), math.ceil(at))})
+    searches = [_Search(i, rank, None, math.nan) for i, rank in ranks]
+    _search_cells(values, cells, tops, ns, searches)
+    found = {(i, rank): s.value for (i, rank), s in zip(ranks, searches, strict=True)}
     out = {}
     for i, c in enumerate(columns):
-        span, found = row[f"s{i}"], []
+        quantiles: list[float | None] = []
         for p in wanted[c]:
-            position = (span["n"] - 1) * p
-            lo, hi = math.floor(position), math.ceil(position)
-            if not span["n"]:
-                found.append(None)
-            elif lo == hi:
-                found.append(ranks[(i, lo)])
-            else:
-                share = position - lo
-                found.append((1 - share) * ranks[(i, lo)] + share * ranks[(i, hi)])
-        out[c] = Spread(span["n"], span["mean"], span["variance"], found)
-    return out
-
-
-def _ranks_in_brackets(values: DataFrame, near: list[tuple], spans: dict) -> dict[tuple[int, int], float]:
-    """(column number, rank) -> value for the ranks around each quantile; see ``spreads``."""
-    counts = Observation()
-    metrics, cells = [], []
-    for k, (i, _, low, high) in enumerate(near):
-        v = F.col(f"v{i}")
-        metrics += [
-            F.count_if(v < F.lit(low)).alias(f"a{k}"),
-            F.count_if(v <= F.lit(low)).alias(f"b{k}"),
-            F.count_if(v < F.lit(high)).alias(f"c{k}"),
-            F.count_if(v <= F.lit(high)).alias(f"d{k}"),
-        ]
-        if low < high:
-            cell = F.struct(F.lit(k).alias("bracket"), v.alias("value"))
-            cells.append(F.when((v > F.lit(low)) & (v < F.lit(high)), cell))
-    watched = values.observe(counts, *metrics)
-    if cells:
-        inside = watched.select(F.explode(F.array(*cells)).alias("cell")).where("cell is not null").select("cell.*")
-        inside = stage(inside, "brackets")
-        inside.count()
-    else:
-        inside = None
-        watched.write.format("noop").mode("overwrite").save()
-    seen = counts.get
-    out: dict[tuple[int, int], float] = {}
-    inner: list[_Search] = []
-    missed: list[tuple[int, _Search]] = []
-    for k, (i, p, low, high) in enumerate(near):
-        position = (spans[i]["n"] - 1) * p
-        for rank in {math.floor(position), math.ceil(position)}:
-            if seen[f"a{k}"] <= rank < seen[f"b{k}"]:
-                out[(i, rank)] = low
-            elif seen[f"c{k}"] <= rank < seen[f"d{k}"]:
-                out[(i, rank)] = high
-            elif seen[f"b{k}"] <= rank < seen[f"c{k}"]:
-                inner.append(_Search((i, k), rank, low, high, seen[f"b{k}"]))
-            else:  # the sketch missed: search the whole column
-                missed.append((i, _Search(f"v{i}", rank, spans[i]["low"], spans[i]["high"])))
-    if inner:
-        _locate_cells(inside, inner)
-        out.update({(s.column[0], s.rank): s.value for s in inner})
-    if missed:
-        found = _locate(values, [s for _, s in missed])
-        out.update({(i, s.rank): found[(s.column, s.rank)][0] for i, s in missed})
+            if not ns[i]:
+                quantiles.append(None)
+                continue
+            at = positions[(i, p)]
+            a, b, share = found[(i, math.floor(at))], found[(i, math.ceil(at))], at - math.floor(at)
+            quantiles.append(a if a == b else (1 - share) * a + share * b)
+        out[c] = Spread(ns[i], means[i], variances[i], quantiles) if ns[i] else Spread(0, None, None, quantiles)
     return out
 
 
-def _locate_cells(cells: DataFrame, searches: list[_Search]) -> None:
-    """Narrow searches (``column`` is (column, bracket)) over values in long form until each has its value."""
-    while True:
-        open_ = [s for s in searches if s.value is None]
-        if not open_:
-            return
-        ranges = sorted({(s.column[1], s.low, s.high) for s in open_})
-        at, bin_ = F.lit(None).cast("int"), F.lit(None).cast("int")
-        value = F.col("value")
-        for r, (bracket, low, high) in enumerate(ranges):
-            hit = (F.col("bracket") == bracket) & value.between(F.lit(low), F.lit(high))
-            at = F.when(hit, r).otherwise(at)
-            bin_ = F.when(hit, _bin(value, False, low, high)).otherwise(bin_)
-        binned = cells.select(at.alias("range"), bin_.alias("bin"), "value").where("range is not null")
-        counted = binned.groupBy("range", "bin").agg(
-            F.count("*").alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-        per_range: dict[int, list] = {}
-        for row in counted.collect():
-            per_range.setdefault(row["range"], []).append(row)
-        index = {r: k for k, r in enumerate(ranges)}
-        for s in open_:
-            below = s.below
-            for row in sorted(per_range[index[(s.column[1], s.low, s.high)]], key=lambda r: r["bin"]):
-                if below + row["n"] > s.rank:
-                    s.below, s.low, s.high = below, row["low"], row["high"]
-                    if s.low == s.high or below == s.rank:
-                        s.value = s.low
-                    elif below + row["n"] - 1 == s.rank:
-                        s.value = s.high
-                    break
-                below += row["n"]
+def _search_cells(values: DataFrame, cells: DataFrame, tops: dict[int, list], ns: list[int], searches: list[_Search]) -> None:
+    """Give every search (``column`` is the column's number) its value; see ``spreads``."""
+
+    def open_() -> list[_Search]:
+        return [s for s in searches if s.value is None]
+
+    hits: list[set[int]] = [set() for _ in ns]
+    for s in searches:
+        before = s.below
+        _choose(s, tops[s.column])
+        if s.value is None:
+            s.top = next(r["top"] for r in tops[s.column] if (before := before + r["n"]) > s.rank)
+            hits[s.column].add(s.top)
+    if open_():
+        fine = cells.where(F.array_contains(_at(_table(hits), "place"), F.col("top")))
+        rows: dict[tuple, list] = {}
+        for row in sorted(fine.select("place", "top", "cell", "n", "low", "high").collect(), key=lambda r: r["cell"]):
+            rows.setdefault((row["place"], row["top"]), []).append(row)
+        for s in open_():
+            _choose(s, rows[(s.column, s.top)])
+    while wide := [s for s in open_() if s.n > max(ns[s.column] / 100, BINS)]:
+        kept = sorted({s.column for s in wide})
+        for s in wide:
+            s.column = kept.index(s.column)
+        _narrow(_long(values.select(*[f"v{i}" for i in kept])), wide)
+        for s in wide:
+            s.column = kept[s.column]
+    if open_():
+        kept = sorted({s.column for s in open_()})
+        ranges = sorted({(kept.index(s.column), s.low, s.high) for s in open_()})
+        for s in open_():
+            s.column = ranges.index((kept.index(s.column), s.low, s.high))
+        near = _inside(_long(values.select(*[f"v{i}" for i in kept])), ranges)
+        near = stage(near.select(F.col("range").alias("place"), "value"), "brackets")
+        while open_():
+            _narrow(near, open_())
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, NULLs left out; None for a column without values."""
+    """Exact quantiles with linear interpolation, NULL and NaN left out; None for a column without values."""
     return {c: s.quantiles for c, s in spreads(df, wanted).items()}
 
 

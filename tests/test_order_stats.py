@@ -81,6 +81,27 @@ def test_a_missed_bracket_is_searched_in_full(spark, monkeypatch):
     assert np.allclose(o.exact_quantiles(df, {"x": ps})["x"], np.percentile(x, np.array(ps) * 100), rtol=1e-12)
 
 
+def test_values_close_together_far_from_zero(spark):
+    rng = np.random.default_rng(8)
+    n = 12_000
+    cols = {"near": 1e9 + rng.random(n), "below": -1e9 - rng.random(n), "tiny": rng.integers(0, 9, n) * 5e-324}
+    df = spark.createDataFrame([tuple(float(x[i]) for x in cols.values()) for i in range(n)], ", ".join(f"{c} double" for c in cols))
+    ps = [0.0, 0.3, 0.5, 0.99, 1.0]
+    got = o.spreads(df, {c: ps for c in cols})
+    for c, x in cols.items():
+        ordered = np.sort(x)
+        lowest, highest = (ordered[f([(n - 1) * p for p in ps]).astype(int)] for f in (np.floor, np.ceil))
+        assert all(a <= q <= b for a, q, b in zip(lowest, got[c].quantiles, highest)), c
+        np.testing.assert_allclose([got[c].mean, got[c].variance], [x.mean(), x.var()], rtol=1e-6)
+
+
+def test_nan_counts_as_missing_and_infinite_values_have_ranks(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in (nan, None, -inf, -2.0, 0.0, 5.0, 1e308, inf, inf)], "x double")
+    assert o.exact_quantiles(df, {"x": [0.0, 1 / 6, 2 / 6, 3 / 6, 4 / 6, 5 / 6, 1.0]})["x"] == [-inf, -2.0, 0.0, 5.0, 1e308, inf, inf]
+    assert o.spreads(df, {"x": []})["x"].n == 7
+
+
 def test_weighted_quantile_is_the_quantile_of_repeated_rows(spark):
     rng = np.random.default_rng(4)
     values, weights = rng.normal(size=500) * 10, rng.integers(0, 60, 500)
