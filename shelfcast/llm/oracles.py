@@ -131,9 +131,70 @@ FROM scored WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid) <= 20
 """
 
+# The checksum is a sum (xor) of what each byte adds at its distance from the end, so it needs one join and no
+# loop over bytes; near words meet in what is left without one letter.
+SPELLING = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY ALL
+), keyed AS (
+  SELECT row_number() OVER () AS id, run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes
+  FROM runs WHERE length(run) >= 5
+), places AS (
+  SELECT id, i, length(bytes) // 2 - 1 - i AS d,
+    xor(CAST('0x' || substr(bytes, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT), CASE WHEN i < 4 THEN 255 ELSE 0 END) AS b
+  FROM (SELECT id, bytes, unnest(range(length(bytes) // 2)) AS i FROM keyed)
+), crc_of_byte AS (
+  SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+  FROM range(256) AS r(b)
+), effect AS (  -- what a byte adds to the checksum at each distance from the end
+  SELECT CAST(0 AS BIGINT) AS d, b, v FROM crc_of_byte
+  UNION ALL
+  SELECT e.d + 1, e.b, xor(e.v >> 8, t.v) FROM effect e JOIN crc_of_byte t ON t.b = e.v & 255
+  WHERE e.d < (SELECT max(d) FROM places)
+), checks AS (
+  SELECT p.id, xor(bit_xor(e.v), 4294967295) AS h FROM places p JOIN effect e ON e.d = p.d AND e.b = p.b GROUP BY p.id
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n
+  FROM (
+    SELECT c, CASE WHEN h % 97 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM keyed JOIN checks USING (id)
+  )
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), shorter AS (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word FROM shorter a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word FROM shorter a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT near.word, near.other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words o ON o.word = near.other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, near.other) = 1
+), formed AS (
+  SELECT w.word, w.n, CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), chain AS (
+  SELECT word, word AS place FROM formed
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.place WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.place AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c USING (word) JOIN formed last ON last.word = c.place AND last.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op7_url_filter": URL_FILTER,
     "op10_decontaminate": DECONTAMINATE,
     "op11_lexical_search": LEXICAL,
+    "op12_spelling_groups": SPELLING,
 }

@@ -186,6 +186,17 @@ def test_spelling_is_the_naive_grouping(spark, seed):
     assert sum(v[3] > 3 for v in expected.values()) > 20 and any(v[0] and v[1] != v[0] for v in expected.values())
 
 
+def test_spelling_query_matches_sql(spark, tables):  # noqa: F811
+    rows = [(d, t, "x") for d, t in variants(3) + [(5, "aaaaaa " * 4)] * 2 + [(7, None), (None, ""), (8, "ÀÿÉ aaaaaa×÷b")]]
+    folder = tables(documents=spark.createDataFrame(rows, "doc_id long, text string, word string"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    names = ["word", "form", "root", "n", "n_near", "form_n"]
+    got = queries.QUERIES["op12_spelling_groups"](spark, folder).select(names).collect()
+    expected = duck.sql(f"SELECT {', '.join(names)} FROM ({queries.ORACLES['op12_spelling_groups']})").fetchall()
+    assert Counter(map(tuple, got)) == Counter(expected) and len(got) > 50
+
+
 def test_tiles_and_buckets_do_not_change_the_result(spark):
     docs = spark.createDataFrame(variants(4), "doc_id long, text string")
     found = spelling.words(docs).persist()
