@@ -1,15 +1,18 @@
 """Histogram sort into shards of near equal bytes, in DataFrame functions only.
 
 Rows are ordered by a composite key: hash of the text, then ``doc_id``, then a row number that is fixed
-by writing the narrow table first. The key range is cut into ``FANOUT`` cells and the exact bytes and rows of
+by writing the narrow table first. The key range is cut into cells and the exact bytes and rows of
 each are counted across all partitions. A cell that holds more than ``TOLERANCE`` of a shard is cut again
 between the least and the greatest key that it has, on the next key column where the first has only one
-value. So a group of equal texts is spread over as many shards as its bytes need. When no cell is too
-heavy the shard of each cell follows from the bytes before it; rows are exchanged once, by cell, and
+value, into about ``PER_LIMIT`` cells for each such share that it holds. So a group of equal texts is spread
+over as many shards as its bytes need. When no cell is too heavy the shard of each cell follows from the bytes before it; rows are exchanged once, by cell, and
 numbered inside their cell on top of the rows before the cell.
 
-The driver sees only cells that are too heavy, at most ``shards / TOLERANCE`` in a round; all cells together are at
-most ``FANOUT`` for each of those. No task holds more than a cell.
+The driver sees only cells that are too heavy, at most ``shards / TOLERANCE`` by bytes and ``1 / TOLERANCE`` by rows.
+The shares that a round's heavy cells hold add up to that number too, so a round makes at most
+``PER_LIMIT + LEAST_CUT`` cells for each, some 130,000 for eight shards, whatever the table's size. A few rounds do.
+The running sums over all cells, formed in one task, and their broadcast are as large as that. No task holds
+more rows than a cell.
 
 Defined results: null texts have no bytes and size 1; a null ``doc_id`` sorts first; equal rows are told apart
 by the row number; a row larger than the tolerance stays whole; an empty table gives an empty result.
@@ -17,6 +20,7 @@ by the row number; a row larger than the tolerance stays whole; an empty table g
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -24,7 +28,10 @@ from pyspark.sql import functions as F
 
 from .staging import fresh, staged
 
-FANOUT = 4096
+#: Cells for each limit's worth of rows or bytes in a heavy cell, and the fewest and most cells of a cut.
+PER_LIMIT = 8
+LEAST_CUT = 64
+MOST_CUT = 4096
 TOLERANCE = 0.005
 LAW = "bytes"
 
@@ -32,14 +39,16 @@ LAW = "bytes"
 def _cut(cells: DataFrame, heavy: list, names: list[str]) -> DataFrame:
     """``cells`` with the path of each row one step longer where its cell is heavy."""
     spark = cells.sparkSession
-    rows = [(list(r["path"]), r["key"], Decimal(r["low"]), Decimal(r["span"])) for r in heavy]
-    table = spark.createDataFrame(rows, "path array<int>, h_key int, h_low decimal(20,0), h_span decimal(20,0)")
+    rows = [(list(r["path"]), r["key"], Decimal(r["low"]), Decimal(r["span"]), r["parts"]) for r in heavy]
+    table = spark.createDataFrame(
+        rows, "path array<int>, h_key int, h_low decimal(20,0), h_span decimal(20,0), h_parts int"
+    )
     value = F.element_at(F.array(*[F.col(n).cast("decimal(20,0)") for n in names]), F.col("h_key"))
-    step = F.floor((value - F.col("h_low")) * FANOUT / F.col("h_span")).cast("int")
-    grown = F.concat("path", F.array(F.least(step, F.lit(FANOUT - 1))))
+    step = F.floor((value - F.col("h_low")) * F.col("h_parts") / F.col("h_span")).cast("int")
+    grown = F.concat("path", F.array(F.least(step, F.col("h_parts") - 1)))
     joined = cells.join(F.broadcast(table), "path", "left")
     return joined.withColumn("path", F.when(F.col("h_key").isNotNull(), grown).otherwise(F.col("path"))).drop(
-        "h_key", "h_low", "h_span"
+        "h_key", "h_low", "h_span", "h_parts"
     )
 
 
@@ -67,10 +76,12 @@ def histogram_shards(
         ).collect()
         heavy = []
         for r in open_cells:
+            limits = max(r["cell_bytes"] / most_bytes, r["cell_rows"] / most_rows)
+            parts = min(MOST_CUT, max(LEAST_CUT, math.ceil(PER_LIMIT * limits)))
             for k, n in enumerate(keys):
                 if r[f"low_{n}"] != r[f"high_{n}"]:
                     span = int(r[f"high_{n}"]) - int(r[f"low_{n}"]) + 1
-                    heavy.append({"path": r["path"], "key": k + 1, "low": r[f"low_{n}"], "span": span})
+                    heavy.append({"path": r["path"], "key": k + 1, "low": r[f"low_{n}"], "span": span, "parts": parts})
                     break
         if not heavy:
             break
