@@ -5,8 +5,9 @@ by writing the narrow table first. The key range is cut into cells and the exact
 each are counted across all partitions. A cell that holds more than ``TOLERANCE`` of a shard is cut again
 between the least and the greatest key that it has, on the next key column where the first has only one
 value, into about ``PER_LIMIT`` cells for each such share that it holds. So a group of equal texts is spread
-over as many shards as its bytes need. When no cell is too heavy the shard of each cell follows from the bytes before it; rows are exchanged once, by cell, and
-numbered inside their cell on top of the rows before the cell.
+over as many shards as its bytes need. When no cell is too heavy the shard of each cell follows from the
+bytes before it; rows are exchanged once, by cell, and numbered inside their cell on top of the rows before
+the cell.
 
 The driver sees only cells that are too heavy, at most ``shards / TOLERANCE`` by bytes and ``1 / TOLERANCE`` by rows.
 The shares that a round's heavy cells hold add up to that number too, so a round makes at most
