@@ -54,7 +54,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice.score(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return lattice.score(table(spark, sf_dir, "documents"), PIECE_MODEL, iterations=1, whole_words=True)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,6 +158,13 @@ def test_lattice_options_learn_from_the_training_words(spark):
     assert plain < learned < 0 and plain < edges < 0
 
 
+def test_lattice_query_keeps_up_with_the_base_on_held_out_texts(spark, data_dir):
+    found = queries.op3_lattice_score(spark, data_dir).where("held_out").select("n_tokens", "base_score", "score").collect()
+    assert found and all(r.score is not None and math.isfinite(r.score) and r.score < 0 for r in found)
+    tokens, base, score = (sum(r[k] for r in found) for k in range(3))
+    assert score / tokens > base / tokens - 2.0
+
+
 def test_hot_words_are_bounded_by_bytes_too(spark):
     rows = [("a" * 50_000, 0, 90, -1.0, -1.0), ("b", 3, 80, -1.0, -2.0), ("c", 0, 40, -1.0, -2.0), ("d", 1, 1, -1.0, -2.0)]
     scored = spark.createDataFrame(rows, "word string, c long, times long, base double, model double")
