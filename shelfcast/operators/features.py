@@ -11,6 +11,10 @@ from shelfcast.functions.elapsed import months_since, weeks_since_iso_week
 from shelfcast.functions.money import ratio, units
 from shelfcast.schema import LAGS, WINDOWS
 
+# Rows that a task of the segmented history sorts; for small tables the least that is worth a task
+_TASK_ROWS = 200_000
+_LEAST_ROWS = 16_384
+
 
 def calendar_features(df: DataFrame) -> DataFrame:
     date = F.col("date")
@@ -70,27 +74,44 @@ def segmented_history_features(
     first. Rows without a date come first, as in the plain variant. Positions are cut into segments of
     ``segment_rows``; the last rows of a segment, as far as the longest lag reaches, are also sent to the
     next one as context. A task then sorts at most one segment and its context, or the rows of one store
-    and date, whatever the store's share.
+    and date, whatever the store's share. The rows are counted first, and the number of tasks follows from that,
+    so a task's memory does not grow with the table: a caller with an expensive frame stages it.
     """
     reach = max([*lags, *windows])
     if segment_rows <= reach:
         raise ValueError("a segment must be longer than the longest lag")
-    by_date = Window.partitionBy("_store").orderBy("_date").rowsBetween(Window.unboundedPreceding, -1)
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-n // _TASK_ROWS), min(cores, -(-n // _LEAST_ROWS)))
+    # keys without NULL, so that one exchange serves the ranks within a date and the join
+    store, date = F.col("store_id"), F.col("date")
+    keyed = df.withColumns(
+        {
+            "_no_store": store.isNull(),
+            "_store": F.coalesce(store, F.lit("0").cast(df.schema["store_id"].dataType)),
+            "_no_date": date.isNull(),
+            "_date": F.coalesce(date, F.lit("1970-01-01").cast(df.schema["date"].dataType)),
+        }
+    )
+    keys = ["_no_store", "_store", "_no_date", "_date"]
+    by_date = Window.partitionBy(*keys[:2]).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        df.groupBy(F.col("store_id").alias("_store"), F.col("date").alias("_date"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_store", "_date", F.coalesce(F.sum("_rows").over(by_date), F.lit(0)).alias("_start"))
+        keyed.groupBy(*keys)
+        .agg(F.first("date").alias("date"), F.count("*").alias("_rows"))
+        .repartition(parts, *keys[:2])
+        .select(*keys, F.coalesce(F.sum("_rows").over(by_date), F.lit(0)).alias("_start"))
     )
-    in_date = Window.partitionBy("store_id", "date").orderBy("sales")
+    in_date = Window.partitionBy(*keys).orderBy("sales")
     positioned = (
-        df.withColumn("_rank", F.row_number().over(in_date) - 1)
-        .join(starts, F.col("store_id").eqNullSafe(F.col("_store")) & F.col("date").eqNullSafe(F.col("_date")))
+        keyed.repartition(parts, *keys)
+        .withColumn("_rank", F.row_number().over(in_date) - 1)
+        .join(starts, keys)
         .withColumn("_position", F.col("_start") + F.col("_rank"))
     )
     own = F.floor(F.col("_position") / segment_rows)
     is_context = F.col("_position") % segment_rows >= segment_rows - reach
     copies = F.when(is_context, F.array(own, own + 1)).otherwise(F.array(own))
     segments = positioned.withColumn("_own", own).withColumn("_segment", F.explode(copies))
+    segments = segments.repartition(parts, "store_id", "_segment")
     ordered = Window.partitionBy("store_id", "_segment").orderBy("_position")
     return segments.select(*df.columns, "_own", "_segment", *_history(ordered, lags, windows)).where(
         "_own = _segment"

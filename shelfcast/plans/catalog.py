@@ -143,7 +143,7 @@ def sales_rolling(spark, d):
 
 @query
 def sales_history_segmented(spark, d):
-    days = clean.open_days(tpch.sales(spark, d)).select("store_id", "date", "sales")
+    days = stage(clean.open_days(tpch.sales(spark, d)).select("store_id", "date", "sales"), "days")
     out = features.segmented_history_features(days, segment_rows=256)
     return _rounded(out.drop("sales"), [f"sales_rolling_std_{n}" for n in WINDOWS], 3)
 

@@ -59,6 +59,14 @@ def test_history_matches_pandas(spark):
         np.testing.assert_allclose(got[f"sales_rolling_std_{n}"].to_numpy(), std.to_numpy(), rtol=1e-9)
 
 
+def test_tasks_of_segmented_history_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(features, "_TASK_ROWS", 10)
+    df = make_days(spark, stores=2, days=150)
+    cut = features.segmented_history_features(df, segment_rows=40)
+    assert cut.rdd.getNumPartitions() == 30  # of 300 rows; whatever the session's shuffle partitions are
+    assert cut.exceptAll(features.history_features(df)).count() == 0 and cut.count() == 300
+
+
 def test_segmented_history_equals_plain_for_a_dominant_store(spark):
     rng = np.random.default_rng(0)
     rows = [(1, dt.date(2000, 1, 1) + dt.timedelta(days=i), float(rng.integers(1, 999))) for i in range(700)]
