@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -73,6 +74,23 @@ def test_spreads_have_moments_and_need_two_scans(spark, tmp_path):
         np.testing.assert_allclose([got[c].mean, got[c].variance], [x.mean(), x.var()], rtol=1e-9)
 
 
+def test_cells_are_summed_in_the_task(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    values = [np.exp(rng.normal(size=500)), np.append(-rng.random(499), np.nan), np.full(500, 7.0)]
+    monkeypatch.setattr(o, "_SORTED", 120)  # many buffers
+    monkeypatch.setattr(o, "_BUFFERS", 3)
+    batches = [pa.record_batch([pa.array(v[at : at + 20]) for v in values], names=list("abc")) for at in range(0, 500, 20)]
+    got = pa.Table.from_batches(o._count_cells(iter(batches))).to_pandas()
+    # a task returns a cell once, whatever the number of its rows
+    assert not got.duplicated(["place", "cell"]).any() and len(got[got["place"] == 2]) == 1
+    for i, x in enumerate(values):
+        own, known = got[got["place"] == i].sort_values("cell"), np.sort(x[~np.isnan(x)])
+        assert own["n"].sum() == len(known) and (own["high"].to_numpy()[:-1] < own["low"].to_numpy()[1:]).all()
+        mean = (own["n"] * own["mean"]).sum() / len(known)
+        squares = (own["squares"] + own["n"] * (own["mean"] - mean) ** 2).sum()
+        np.testing.assert_allclose([mean, squares], [known.mean(), ((known - known.mean()) ** 2).sum()], rtol=1e-9, atol=1e-20)
+
+
 def test_a_missed_bracket_is_searched_in_full(spark, monkeypatch):
     monkeypatch.setattr(o, "ACCURACY", 4)  # brackets that mean little
     x = np.random.default_rng(3).normal(size=4000)
